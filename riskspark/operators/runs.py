@@ -14,36 +14,22 @@ MEAN_TOLERANCE = (30.0, 0.03)
 NOISE = (0.005, 5000)
 
 
-def leaderboard(runs: DataFrame, run: str = "run", metric: str = "oot_auc") -> DataFrame:
-    """1-based rank by falling metric, missing metrics last, ties by run.
-
-    The order is reduced to one number per run (text ids through their order-preserving digits are not
-    needed: equal metrics are rare, so ties are ranked inside their own group).
-    """
-    key = F.coalesce(-F.col(metric).cast("double"), F.lit(float("inf")))
-    keyed = runs.withColumn("__k", key)
-    # Position among distinct metric values, then inside each tie.
-    sizes = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("__c"))
-    placed = _before(sizes)
-    tied = keyed.select("__k", run).withColumn("__h", F.col(run).cast("double"))
-    numeric = dict(runs.dtypes)[run] != "string"
-    if numeric:
-        inside = ranked(tied.select("__k", run, "__h"), ["__k"], ["__h"], "__i").select(run, "__i")
-    else:
-        from pyspark.sql import Window as W
-
-        inside = tied.withColumn("__i", F.row_number().over(W.partitionBy("__k").orderBy(run)) - 1).select(run, "__i")
-    return (
-        keyed.join(placed, "__k").join(inside, run)
-        .withColumn("rank", F.col("__b") + F.col("__i") + 1)
-        .drop("__k", "__b", "__i")
-    )
+def text_axes(text: Column, chunks: int = 8) -> list[Column]:
+    """Numbers that sort like the text's bytes (7 bytes each), for rank selection on text ids."""
+    raw = text.cast("string").cast("binary")
+    return [
+        F.conv(F.rpad(F.hex(F.substring(raw, 1 + 7 * i, 7)), 14, "0"), 16, 10).cast("bigint")
+        for i in range(chunks)
+    ]
 
 
-def _before(sizes: DataFrame) -> DataFrame:
-    from riskspark.operators.ranks import running_totals
-
-    return running_totals(sizes, [], ["__k"], ["__c"]).select("__k", F.col("before___c").alias("__b"))
+def leaderboard(runs: DataFrame, run: str = "run", metric: str = "oot_auc") -> DataFrame:
+    """1-based rank by falling metric, missing metrics last, ties by run."""
+    axes = [F.col(run)] if dict(runs.dtypes)[run] != "string" else text_axes(F.col(run))
+    order = {"__k": F.coalesce(-F.col(metric).cast("double"), F.lit(float("inf")))}
+    order |= {f"__t{i}": axis for i, axis in enumerate(axes)}
+    placed = ranked(runs.withColumns(order), [], list(order), "__before")
+    return placed.withColumn("rank", F.col("__before") + 1).drop("__before", *order)
 
 
 def top_runs(runs: DataFrame, k: int, run: str = "run", metric: str = "oot_auc") -> DataFrame:
