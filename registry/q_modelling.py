@@ -1 +1,223 @@
-"""Pending."""
+"""Score-card, model training and scoring, run tables. A run here is one supplier's rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+from registry import query
+from registry.base import FEATURES, S, SPLIT_TAG, SPLITS, rank_sql, rounded, sample
+from riskspark.functions.scores import POINTS_FACTOR
+from riskspark.functions.values import label_family
+from riskspark.operators import models, project, quality, runs, scorecard, select, stability
+from riskspark.plans.flows import deliver_scores
+
+COEF, INTERCEPT = 1.2, -0.3
+
+
+def _odds(p: str) -> str:
+    c = f"greatest(1e-6, least(1 - 1e-6, {p}))"
+    return f"ln({c} / (1 - {c}))"
+
+
+CARD = f"""{S}, o AS (SELECT *, CASE WHEN score_old IS NOT NULL THEN {_odds('score_old')} END AS odds FROM s),
+  c AS (SELECT *, CASE WHEN odds IS NOT NULL THEN 1 / (1 + exp(-greatest(-30, least(30, {COEF} * odds + {INTERCEPT})))) END AS lp FROM o),
+  b AS (SELECT *, CASE WHEN lp IS NOT NULL THEN 400 - {POINTS_FACTOR!r} * {_odds('lp')} END AS bs FROM c)"""
+
+
+@query(
+    "scorecard_apply",
+    f"WITH {CARD} SELECT uid, dt, okey, score_old, round(odds, 6) AS odds, round(lp, 8) AS logistic_prob, round(bs, 4) AS bscore FROM b",
+)
+def _(spark, sf):
+    rows = sample(spark, sf).select("uid", "dt", "okey", "score_old")
+    card = scorecard.apply_scorecard(rows, "score_old", COEF, INTERCEPT)
+    return rounded(rounded(rounded(card, 6, "odds"), 8, "logistic_prob"), 4, "bscore")
+
+
+@query(
+    "scorecard_summary",
+    f"""WITH {CARD} SELECT count(*) AS n, round(min(bs), 2) AS bscore_min, round(max(bs), 2) AS bscore_max, round(avg(bs), 2) AS bscore_mean,
+      count(*) FILTER (bs < 400) AS below_range, count(*) FILTER (bs > 780) AS above_range, count(*) FILTER (bs IS NULL) AS not_finite,
+      {", ".join(f"round(quantile_cont(bs, {p}), 2) AS p{round(p * 100)}" for p in (0.1, 0.25, 0.5, 0.75, 0.9))} FROM b""",
+)
+def _(spark, sf):
+    card = scorecard.apply_scorecard(sample(spark, sf).select("score_old"), "score_old", COEF, INTERCEPT)
+    return scorecard.scorecard_summary(card)
+
+
+@query("scorecard_fit")
+def _(spark, sf):
+    """Fit on the training range, apply to everything, summarise."""
+    rows = sample(spark, sf).select("uid", "dt", "y2", "score_old")
+    fit = project.fit_slice(rows, "dt", SPLITS.range("train"))
+    coef, intercept = scorecard.fit_calibration(fit, "score_old", "y2")
+    card = scorecard.apply_scorecard(rows, "score_old", coef, intercept)
+    return scorecard.scorecard_summary(card).withColumns({"coef": F.lit(coef), "intercept": F.lit(intercept)})
+
+
+_SMALL = {"maxIter": 5, "maxDepth": 3}
+_IDS = ["okey", "pkey", "uid", "line"]
+
+
+def _parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    s = sample(spark, sf).select(*_IDS, "dt", "y", *FEATURES).where(F.col("y").isNotNull())
+    dev = project.split_slice(s, "dt", ("19950101", "19991231"))
+    parts = select.stratified_split(dev, "y", _IDS)
+    oot = project.split_slice(s, "dt", SPLITS.range("oot"))
+    return parts.where("part = 'train'").drop("part"), parts.where("part = 'val'").drop("part"), oot
+
+
+@query("train_and_evaluate")
+def _(spark, sf):
+    """Weighted training with a validation set, batch scoring, evaluation per split."""
+    train, val, oot = _parts(spark, sf)
+    model = models.train_model(select.time_weight(train, "dt"), val, FEATURES, "y", "weight", _SMALL)
+    tagged = [d.withColumn("split", F.lit(n)) for n, d in (("train", train), ("val", val), ("oot", oot))]
+    scored = models.score_rows(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]), model)
+    return quality.split_evaluation(scored, "score", "y", "split")
+
+
+@query("model_importance")
+def _(spark, sf):
+    train, val, _ = _parts(spark, sf)
+    return models.importance_table(models.train_model(train, val, FEATURES, "y", params=_SMALL))
+
+
+@query("adversarial_validation")
+def _(spark, sf):
+    """Separability of development and out-of-time rows, and the rows kept after the recommended drop."""
+    train, val, oot = _parts(spark, sf)
+    dev = train.unionByName(val)
+    model, _, auc = models.train_adversarial(dev, oot, FEATURES, _IDS, _SMALL)
+    scored = models.score_rows(dev, model, "proba")
+    kept = select.adversarial_drop(scored, "proba", select.drop_share(auc), _IDS)
+    return kept.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("separability", F.lit(auc))
+
+
+@query("tune_model")
+def _(spark, sf):
+    """Two neighbours of the starting point, each judged on the same validation rows."""
+    train, val, oot = _parts(spark, sf)
+    grid = [{"maxIter": 4, "maxDepth": d} for d in (2, 4)]
+    model, best, _ = models.tune_model(train, val, FEATURES, "y", grid)
+    result = quality.rank_metrics(models.score_rows(oot, model), "score", "y")
+    return result.withColumn("best_depth", F.lit(best["maxDepth"]))
+
+
+@query("deliver_scores")
+def _(spark, sf):
+    """Unlabelled rows through sentinels, model and score-card."""
+    train, val, _ = _parts(spark, sf)
+    model = models.train_model(train, val, FEATURES, "y", params=_SMALL)
+    fresh = sample(spark, sf).where(F.col("y").isNull()).select("uid", "dt", *FEATURES)
+    return deliver_scores(fresh, model, [50.0], (COEF, INTERCEPT))
+
+
+# Run tables.
+RUNS = f"""{S}, t AS (SELECT uid, score_old, score_new, y2, {SPLIT_TAG} AS split FROM s),
+  m AS ({rank_sql('t', ['uid', 'split'], 'score_old', 'y2', 'split IS NOT NULL')}),
+  hb AS (SELECT uid, split, floor(score_old * 10) AS bin, count(*) / sum(count(*)) OVER (PARTITION BY uid, split) AS share
+         FROM t WHERE split IN ('train', 'oot') AND score_old IS NOT NULL GROUP BY uid, split, bin),
+  ps AS (SELECT uid, round(sum((a - b) * ln((a + 1e-10) / (b + 1e-10))), 8) AS psi FROM (SELECT uid, bin,
+          coalesce(max(share) FILTER (split = 'oot'), 0) AS a, coalesce(max(share) FILTER (split = 'train'), 0) AS b FROM hb GROUP BY uid, bin) GROUP BY uid),
+  runs AS (SELECT uid AS run, concat('algo_', uid % 3) AS algo, round(max(auc) FILTER (split = 'train'), 8) AS train_auc,
+      round(max(auc) FILTER (split = 'oot'), 8) AS oot_auc, psi, 920 + uid % 60 AS best_iter
+    FROM m JOIN ps USING (uid) GROUP BY uid, psi)"""
+
+
+def _runs(spark, sf) -> DataFrame:
+    t = project.split_tag(sample(spark, sf), "dt", SPLITS)
+    m = quality.rank_metrics(t, "score_old", "y2", ["uid", "split"])
+
+    def of(split: str):
+        return F.round(F.max(F.when(F.col("split") == split, F.col("auc"))), 8)
+
+    table = m.groupBy("uid").agg(of("train").alias("train_auc"), of("oot").alias("oot_auc"))
+    hist = t.where(F.col("score_old").isNotNull()).groupBy("uid", "split", F.floor(F.col("score_old") * 10).alias("bin")).count()
+    share = hist.withColumn("share", F.col("count") / F.sum("count").over(W.partitionBy("uid", "split")))
+    psi = stability.psi_proportions(share.where("split = 'oot'"), share.where("split = 'train'"), ["uid"])
+    return table.join(rounded(psi, 8, "psi"), "uid").select(
+        F.col("uid").alias("run"), F.concat(F.lit("algo_"), (F.col("uid") % 3).cast("string")).alias("algo"),
+        "train_auc", "oot_auc", "psi", (F.lit(920) + F.col("uid") % 60).alias("best_iter"),
+    )
+
+
+@query(
+    "leaderboard",
+    f"WITH {RUNS} SELECT *, row_number() OVER (ORDER BY oot_auc DESC NULLS LAST, run) AS rank FROM runs",
+)
+def _(spark, sf):
+    return runs.leaderboard(_runs(spark, sf))
+
+
+@query("top_runs", f"WITH {RUNS} SELECT * FROM runs WHERE oot_auc IS NOT NULL ORDER BY oot_auc DESC, run LIMIT 10")
+def _(spark, sf):
+    return runs.top_runs(_runs(spark, sf), 10)
+
+
+@query(
+    "best_per_algo",
+    f"""WITH {RUNS} SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY algo ORDER BY oot_auc DESC, run) AS k
+    FROM runs WHERE oot_auc IS NOT NULL) WHERE k = 1""",
+)
+def _(spark, sf):
+    return runs.best_per_algo(_runs(spark, sf))
+
+
+@query(
+    "diagnose_runs",
+    f"""WITH {RUNS}, d AS (SELECT *, CASE WHEN train_auc - oot_auc > 0.05 THEN 'overfit'
+        WHEN train_auc - oot_auc < 0.005 OR train_auc < 0.70 THEN 'underfit' END AS a,
+      CASE WHEN best_iter / 1000.0 >= 0.95 THEN 'underconverged' END AS b, CASE WHEN psi > 0.10 THEN 'unstable_psi' END AS c FROM runs)
+    SELECT run, algo, train_auc, oot_auc, psi, best_iter, CAST(1000 AS INTEGER) AS n_estimators, coalesce(a, b, c, 'well_fit') AS status,
+      concat_ws(',', a, b, c) AS reasons, round(train_auc - oot_auc, 8) AS train_oot_gap FROM d""",
+)
+def _(spark, sf):
+    table = _runs(spark, sf).withColumn("n_estimators", F.lit(1000))
+    d = runs.diagnose_runs(table, best_iter="best_iter", n_estimators="n_estimators", psi="psi")
+    return rounded(d, 8, "train_oot_gap")
+
+
+# "Reported" metrics are taken on scores rounded to two digits, so some runs agree and some do not.
+@query(
+    "metric_reconcile",
+    f"""WITH {S}, t AS (SELECT uid, score_old, round(score_old, 2) AS coarse, y2, {SPLIT_TAG} AS split FROM s),
+      a AS ({rank_sql('t', ['uid', 'split'], 'coarse', 'y2', 'split IS NOT NULL')}), b AS ({rank_sql('t', ['uid', 'split'], 'score_old', 'y2', 'split IS NOT NULL')})
+    SELECT a.uid AS run, a.split, round(a.auc, 8) AS reported, round(b.auc, 8) AS computed, round(abs(round(a.auc, 8) - round(b.auc, 8)), 8) AS delta,
+      CASE WHEN b.auc IS NULL THEN 'not_computed' WHEN abs(round(a.auc, 8) - round(b.auc, 8)) <= 5e-4 THEN 'ok' ELSE 'differs' END AS status
+    FROM a LEFT JOIN b ON a.uid = b.uid AND a.split = b.split""",
+)
+def _(spark, sf):
+    t = project.split_tag(sample(spark, sf), "dt", SPLITS).withColumn("coarse", F.round("score_old", 2))
+    keys = ["run", "split"]
+
+    def metric(score: str) -> DataFrame:
+        m = quality.rank_metrics(t, score, "y2", ["uid", "split"])
+        return m.select(F.col("uid").alias("run"), "split", F.round("auc", 8).alias("value"))
+
+    return rounded(runs.metric_reconcile(metric("coarse"), metric("score_old"), keys), 8, "delta")
+
+
+@query(
+    "noise_pairs",
+    f"""WITH {S}, t AS (SELECT *, {SPLIT_TAG} AS split FROM s), a AS ({rank_sql('t', ['uid'], 'score_new', 'y2', "split = 'oot'")}),
+      b AS ({rank_sql('t', ['uid'], 'score_old', 'y2', "split = 'oot'")}),
+      d AS (SELECT a.uid, round(b.auc, 8) - round(a.auc, 8) AS delta, least(a.n, b.n) AS n FROM a JOIN b ON a.uid = b.uid)
+    SELECT uid, round(delta, 8) AS delta, n, CASE WHEN abs(delta) < 0.005 AND n < 5000 THEN 'noise' WHEN delta > 0 THEN 'better' WHEN delta < 0 THEN 'worse' ELSE 'equal' END AS verdict FROM d""",
+)
+def _(spark, sf):
+    oot = project.split_slice(sample(spark, sf), "dt", SPLITS.range("oot"))
+    sides = [rounded(quality.rank_metrics(oot, s, "y2", ["uid"]), 8, "auc") for s in ("score_new", "score_old")]
+    return rounded(runs.noise_pairs(sides[0], sides[1], ["uid"]), 8, "delta")
+
+
+@query(
+    "label_families",
+    """SELECT DISTINCT concat(CASE l_linenumber WHEN 1 THEN 'fpd7_sx' WHEN 2 THEN 'fpd15_a' WHEN 3 THEN 'fpd30_b' ELSE 'dpd30_' END, CAST(l_quantity AS INTEGER)) AS label,
+      CASE l_linenumber WHEN 1 THEN 'fpd7' WHEN 2 THEN 'fpd15' WHEN 3 THEN 'fpd30' ELSE concat('dpd30_', CAST(l_quantity AS INTEGER)) END AS family FROM lineitem""",
+)
+def _(spark, sf):
+    line = F.col("line")
+    prefix = F.when(line == 1, "fpd7_sx").when(line == 2, "fpd15_a").when(line == 3, "fpd30_b").otherwise("dpd30_")
+    names = sample(spark, sf).select(F.concat(prefix, F.col("qty").cast("int").cast("string")).alias("label"))
+    return names.distinct().select("label", label_family(F.col("label")).alias("family"))
