@@ -10,6 +10,7 @@ from riskspark.functions.scores import POINTS_FACTOR
 from riskspark.functions.values import label_family
 from riskspark.operators import models, project, quality, runs, scorecard, select, stability
 from riskspark.plans.flows import deliver_scores
+from riskspark.sources.staging import stage
 
 COEF, INTERCEPT = 1.2, -0.3
 
@@ -62,7 +63,7 @@ _IDS = ["okey", "pkey", "uid", "line"]
 def _parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     s = sample(spark, sf).select(*_IDS, "dt", "y", *FEATURES).where(F.col("y").isNotNull())
     dev = project.split_slice(s, "dt", ("19950101", "19991231"))
-    parts = select.stratified_split(dev, "y", _IDS)
+    parts = stage(select.stratified_split(dev, "y", _IDS))
     oot = project.split_slice(s, "dt", SPLITS.range("oot"))
     return parts.where("part = 'train'").drop("part"), parts.where("part = 'val'").drop("part"), oot
 
@@ -73,7 +74,7 @@ def _(spark, sf):
     train, val, oot = _parts(spark, sf)
     model = models.train_model(select.time_weight(train, "dt"), val, FEATURES, "y", "weight", _SMALL)
     tagged = [d.withColumn("split", F.lit(n)) for n, d in (("train", train), ("val", val), ("oot", oot))]
-    scored = models.score_rows(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]), model)
+    scored = stage(models.score_rows(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]), model))
     return quality.split_evaluation(scored, "score", "y", "split")
 
 
@@ -89,7 +90,7 @@ def _(spark, sf):
     train, val, oot = _parts(spark, sf)
     dev = train.unionByName(val)
     model, _, auc = models.train_adversarial(dev, oot, FEATURES, _IDS, _SMALL)
-    scored = models.score_rows(dev, model, "proba")
+    scored = stage(models.score_rows(dev, model, "proba"))
     kept = select.adversarial_drop(scored, "proba", select.drop_share(auc), _IDS)
     return kept.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("separability", F.lit(auc))
 

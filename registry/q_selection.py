@@ -124,7 +124,7 @@ _SAFE = {
     + " UNION ALL ".join(
         f"""SELECT '{f}', CASE WHEN count(DISTINCT x) <= 1 THEN 'constant' WHEN avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END) >= 0.95 THEN 'high_missing'
           WHEN bool_and(x = y) AND count(DISTINCT y) FILTER (x IS NOT NULL) = 2 THEN 'leak_equal' WHEN count(DISTINCT x) FILTER (y IS NOT NULL) = 1 THEN 'constant'
-          WHEN abs(try(corr(x, y))) >= 0.99 THEN 'leak_high_corr' END
+          WHEN abs(corr(x, y)) >= 0.99 THEN 'leak_high_corr' END
         FROM (SELECT try_cast({e} AS DOUBLE) AS x, CAST(CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS DOUBLE) AS y FROM lineitem)"""
         for f, e in _SAFE.items()
         if f not in ("uid", "13812345678")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskspark.operators.ranks import exact_quantiles
+from riskspark.operators.ranks import exact_quantiles, quoted
 
 # A broadcast edge table is at most this many numbers (16 MB); wider ones are joined by shuffle, where
 # adaptive execution splits skewed partitions.
@@ -55,15 +55,15 @@ def quantile_edges(
     return q.select(*keys, "n", F.when(enough & (low < high), edges).alias("edges"))
 
 
-def bin_index(value: Column, edges: Column, n_bins: int) -> Column:
-    """Right-closed bins 1…n with the lowest edge included; null outside the edges.
+def bin_index(value: str, edges: str, n_bins: int) -> Column:
+    """Right-closed bins 1…n with the lowest edge included; null outside the edges. Takes column names.
 
     A sum of comparisons rather than a higher-order function: it stays in generated code.
     """
-    below = [F.when(F.get(edges, F.lit(i)) < value, F.lit(1)).otherwise(F.lit(0)) for i in range(n_bins + 1)]
-    position = reduce(lambda a, b: a + b, below)
-    inside = (value >= F.get(edges, F.lit(0))) & (value <= F.element_at(edges, F.lit(-1)))
-    return F.when(inside, F.greatest(F.lit(1), position))
+    v, e = quoted(value), edges
+    below = " + ".join(f"CASE WHEN get({e}, {i}) < {v} THEN 1 ELSE 0 END" for i in range(n_bins + 1))
+    inside = f"{v} >= get({e}, 0) AND {v} <= element_at({e}, -1)"
+    return F.expr(f"CASE WHEN {inside} THEN greatest(1, {below}) END")
 
 
 def attach_edges(
@@ -85,5 +85,5 @@ def bin_assign(
     edges = quantile_edges(long, ["feature"], n_bins=n_bins, digits=digits)
     placed = attach_edges(long, edges, ["feature"], len(features), n_bins)
     return placed.select(
-        *keep, "feature", "value", bin_index(F.col("value"), F.col("edges"), n_bins).alias("bin")
+        *keep, "feature", "value", bin_index("value", "edges", n_bins).alias("bin")
     )

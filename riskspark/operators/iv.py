@@ -50,7 +50,7 @@ def woe_table(
     edges = quantile_edges(long, group, n_bins=n_bins, digits=digits, method=method)
     bound = len(features) * (MAX_MONTHS if keys else 1)
     placed = attach_edges(long, edges, group, bound, n_bins).withColumn(
-        "bin", bin_index(F.col("value"), F.col("edges"), n_bins)
+        "bin", bin_index("value", "edges", n_bins)
     )
     # Groups without edges keep one null bin, so that they show up with a null IV.
     return _evidence(placed, group)

@@ -15,6 +15,7 @@ from riskspark.operators.project import align_features
 from riskspark.operators.quality import rank_metrics
 from riskspark.operators.select import stratified_split
 from riskspark.operators.validate import require_columns
+from riskspark.sources.staging import stage
 
 # Starting point of every fit; a grid passed to ``tune_model`` overrides single entries.
 DEFAULT_PARAMS = {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20}
@@ -42,15 +43,20 @@ def train_model(
     both = train.withColumn("__val", F.lit(False)).unionByName(
         val.withColumn("__val", F.lit(True)), allowMissingColumns=True
     ).where(F.col(label).isNotNull())
-    y = (F.col(label) > 0).cast("double")
-    sizes = both.where(~F.col("__val")).agg(F.count_if(y == 1).alias("p"), F.count_if(y == 0).alias("n")).first()
+    y = (F.col(label) > 0).cast("double").alias("__y")
+    base_weight = (F.coalesce(F.col(weight), F.lit(1.0)) if weight else F.lit(1.0)).alias("__w")
+    # Every boosting round reads the rows again: the few columns it needs are written once.
+    rows = stage(_prepare(both.select("__val", y, base_weight, *features), features))
+    sizes = rows.where(~F.col("__val")).agg(
+        F.count_if(F.col("__y") == 1).alias("p"), F.count_if(F.col("__y") == 0).alias("n")
+    ).first()
     if not sizes["p"] or not sizes["n"]:
         raise ValueError("training rows need both classes")
-    row_weight = F.col(weight) if weight else F.lit(1.0)
-    balance = F.when(y == 1, F.lit(sizes["n"] / sizes["p"])).otherwise(F.lit(1.0))
-    rows = _prepare(both, features).withColumns(
-        {"__y": y, "__w": F.coalesce(row_weight, F.lit(1.0)) * balance}
-    )
+    balance = F.when(F.col("__y") == 1, F.lit(sizes["n"] / sizes["p"])).otherwise(F.lit(1.0))
+    return _fit(rows.withColumn("__w", F.col("__w") * balance), features, params, seed)
+
+
+def _fit(rows: DataFrame, features: Sequence[str], params: dict | None, seed: int) -> PipelineModel:
     filled = [f"{c}__filled" for c in features]
     stages = [
         Imputer(inputCols=list(features), outputCols=filled, strategy="median"),
@@ -98,7 +104,7 @@ def train_adversarial(
     both = dev.select(*keep).withColumn("__oot", F.lit(0)).unionByName(
         oot.select(*keep).withColumn("__oot", F.lit(1))
     )
-    parts = stratified_split(both, "__oot", key_cols, 0.7, seed, "__part")
+    parts = stage(stratified_split(both, "__oot", key_cols, 0.7, seed, "__part"))
     held = parts.where(F.col("__part") == "val").drop("__part")
     model = train_model(parts.where(F.col("__part") == "train").drop("__part"), held, features, "__oot", params=params, seed=seed)
     row = rank_metrics(score_rows(held, model), "score", "__oot").first()

@@ -21,6 +21,10 @@ MAX_RANGES = 4096
 PICK_RANGES = 256  # finer ranges leave fewer rows to sort when only a few ranks are wanted
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def range_count(df: DataFrame) -> int:
     """A power of two, twice the session's shuffle width, between 16 and ``MAX_RANGES``."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -44,23 +48,24 @@ def with_ranges(
         .agg(F.sort_array(F.collect_list(F.struct(*[f"__a{i}" for i in range(len(axes))]))).alias("__s"))
         .select(F.struct(*[F.col(f"__s.__a{i}").alias(f"a{i}") for i in range(len(axes))]))
     )
-    rows = rows.withColumns({"__bounds": sample.scalar(), _RANGE: F.lit(0)})
-    # Binary search for the number of bounds below the row, one codegen'd projection per level.
+    columns = rows.columns
+    rows = rows.withColumn("__bounds", sample.scalar())
+    # Binary search for the number of bounds below the row: one codegen'd projection per level, written
+    # as lateral aliases of a single select (SQL text, as thousands of Column calls are slow to build).
+    levels = ["0 AS __r0"]
     step = ranges // 2
     while step:
-        at = F.col(_RANGE) + F.lit(step - 1)
-        below = F.lit(False)
+        low = f"__r{len(levels) - 1}"
+        below = "false"
         for i, c in reversed(list(enumerate(axes))):
-            bound = F.get(F.col(f"__bounds.a{i}"), at)
-            below = (bound < F.col(c)) | ((bound == F.col(c)) & below)
-        rows = rows.withColumn(_RANGE, F.when(below, F.col(_RANGE) + F.lit(step)).otherwise(F.col(_RANGE)))
+            bound = f"get(__bounds.a{i}, {low} + {step - 1})"
+            below = f"({bound} < {quoted(c)} OR ({bound} = {quoted(c)} AND {below}))"
+        levels.append(f"CASE WHEN {below} THEN {low} + {step} ELSE {low} END AS __r{len(levels)}")
         step //= 2
+    found = rows.selectExpr(*[quoted(c) for c in columns], "__bounds", *levels)
     # The generated column is opaque to the optimizer: a predicate or join key on it would otherwise be
     # inlined through the levels above and grow exponentially.
-    return rows.select(
-        *[c for c in rows.columns if c not in ("__bounds", _RANGE)],
-        F.explode(F.array(_RANGE)).alias(_RANGE),
-    )
+    return found.select(*columns, F.explode(F.array(f"__r{len(levels) - 1}")).alias(_RANGE))
 
 
 def _range_offsets(ranged: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -113,26 +118,24 @@ def running_totals(
     return _shifted_totals(ranged, _range_offsets(ranged, keys, sums), keys, order, sums)
 
 
-def pick_ranks(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranks: dict[str, Column]
-) -> DataFrame:
-    """The rows at given 0-based ranks of each group, one output row per group.
+def pick_ranks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranks: Column) -> DataFrame:
+    """The rows at given 0-based ranks of each group: ``(keys…, n, at)``.
 
-    ``ranks`` maps an output name to a rank expressed over ``n`` (the group's size). Each output is a
-    struct of the ``order`` columns, null when the rank is outside the group. Only ranges that hold a
-    wanted rank are shuffled; the others are just counted.
+    ``ranks`` is an array over ``n`` (the group's size); ``at`` maps each rank inside the group to a struct
+    of the ``order`` columns. Only ranges that hold a wanted rank are shuffled; the others are counted.
     """
     ranges = max(PICK_RANGES, range_count(rows))
     ranged = with_ranges(
         rows.select(*keys, *order).withColumn("__n", F.lit(1).cast("bigint")), keys, order, ranges
     )
     first, held = F.col("__off___n"), F.col("__in___n")
-    asked = F.array(*[F.struct(F.lit(i).alias("i"), r.alias("r")) for i, r in enumerate(ranks.values())])
     offsets = (
         _range_offsets(ranged, keys, ["__n"])
         .withColumn("n", F.col("total___n"))
-        .withColumn("__asked", F.filter(asked, lambda a: (a["r"] >= first) & (a["r"] < first + held)))
+        .withColumn("__all", ranks)  # a column first: a rank may hold a subquery, a lambda must not
+        .withColumn("__asked", F.filter("__all", lambda r: (r >= first) & (r < first + held)))
         .where(F.size("__asked") > 0)
+        .drop("__all")
     )
     # One flag per range number: at most MAX_RANGES booleans.
     flags = offsets.agg(F.collect_set(_RANGE).alias("s")).select(
@@ -145,47 +148,37 @@ def pick_ranks(
     )
     placed = _shifted_totals(collapsed, offsets, keys, order, ["__n"], ["n", "__asked"])
     before, size = F.col("before___n"), F.col("__n")
-    # A group keeps one small array: a slot per asked rank.
-    found = (
-        placed.select(
-            *keys,
-            "n",
-            *order,
-            F.explode(
-                F.filter("__asked", lambda a: (a["r"] >= before) & (a["r"] < before + size))
-            ).alias("a"),
-        )
+    inside = F.filter("__asked", lambda r: (r >= before) & (r < before + size))
+    # A group keeps one small map: an entry per asked rank.
+    return (
+        placed.select(*keys, "n", *order, F.explode(inside).alias("__rank"))
         .groupBy(*keys)
         .agg(
             F.max("n").alias("n"),
-            F.map_from_entries(F.collect_list(F.struct(F.col("a.i"), F.struct(*order)))).alias("at"),
+            F.map_from_entries(F.collect_list(F.struct("__rank", F.struct(*order)))).alias("at"),
         )
     )
-    return found.select(
-        *keys, "n", *[F.try_element_at("at", F.lit(i)).alias(name) for i, name in enumerate(ranks)]
-    )
 
 
 def exact_quantiles(
     rows: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Linearly interpolated quantiles of the non-null values: ``n`` and an array ``q`` per group."""
-    ranks: dict[str, Column] = {}
-    for i, p in enumerate(probabilities):
-        at = F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double")
-        ranks[f"lo{i}"] = F.floor(at)
-        ranks[f"hi{i}"] = F.ceil(at)
+    ps = "array(" + ", ".join(f"{float(p)!r}D" for p in probabilities) + ")"
+    at = "(p * CAST(n - 1 AS DOUBLE))"
+    ranks = F.expr(f"array_distinct(flatten(transform({ps}, p -> array(floor({at}), ceil({at})))))")
     picked = pick_ranks(rows.where(F.col(value).isNotNull()), keys, [value], ranks)
+    lo, hi = (f"at[{side}({at})].{quoted(value)}" for side in ("floor", "ceil"))
+    t = f"({at} - floor({at}))"
+    # The two-sided form keeps the result exact at both ends.
+    lerp = f"CASE WHEN {t} < 0.5D THEN {lo} + ({hi} - {lo}) * {t} ELSE {hi} - ({hi} - {lo}) * (1D - {t}) END"
+    return picked.selectExpr(*[quoted(k) for k in keys], "n", f"transform({ps}, p -> {lerp}) AS q")
 
-    def lerp(i: int, p: float) -> Column:
-        lo, hi = F.col(f"lo{i}.{value}"), F.col(f"hi{i}.{value}")
-        at = F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double")
-        t = at - F.floor(at)
-        span = hi - lo
-        # The two-sided form keeps the result exact at both ends.
-        return F.when(t < F.lit(0.5), lo + span * t).otherwise(hi - span * (F.lit(1.0) - t))
 
-    return picked.select(*keys, "n", F.array(*[lerp(i, p) for i, p in enumerate(probabilities)]).alias("q"))
+def rank_threshold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], rank: Column) -> DataFrame:
+    """The order values at one rank per group: ``(keys…, n, cut)``, null when the rank is outside."""
+    picked = pick_ranks(rows, keys, order, F.array(rank.cast("bigint")))
+    return picked.select(*keys, "n", F.try_element_at("at", rank.cast("bigint")).alias("cut"))
 
 
 def ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str = "rank") -> DataFrame:

@@ -64,7 +64,7 @@ def lift_table(
     keys = ["model", "label"]
     edges = quantile_edges(pairs, keys, "score", n_bins, digits, min_rows=1)
     placed = attach_edges(pairs, edges, keys, len(models) * len(labels), n_bins).withColumn(
-        "bin", bin_index(F.col("score"), F.col("edges"), n_bins)
+        "bin", bin_index("score", "edges", n_bins)
     )
     counts = placed.where(F.col("bin").isNotNull()).groupBy(*keys, "bin").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") > 0).alias("bad")
@@ -92,8 +92,8 @@ def _swap_cells(df: DataFrame, old: str, new: str, label: str, n_bins: int, digi
     fitted = both.select(F.struct("old", "new")).scalar()  # two short arrays
     binned = rows.withColumn("__e", fitted).select(
         "old", "new", "y",
-        bin_index(F.col("old"), F.col("__e.old"), n_bins).alias("old_bin"),
-        bin_index(F.col("new"), F.col("__e.new"), n_bins).alias("new_bin"),
+        bin_index("old", "__e.old", n_bins).alias("old_bin"),
+        bin_index("new", "__e.new", n_bins).alias("new_bin"),
     )
     return binned, both
 

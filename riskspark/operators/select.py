@@ -14,7 +14,7 @@ from riskspark.functions.dates import date_column
 from riskspark.functions.values import check_sensitive, to_number
 from riskspark.operators.bins import unpivot_features
 from riskspark.operators.iv import feature_iv
-from riskspark.operators.ranks import pick_ranks
+from riskspark.operators.ranks import rank_threshold
 from riskspark.operators.stability import feature_psi
 
 # Filter limits and the drop share per separability of development and out-of-time rows.
@@ -81,7 +81,7 @@ def adversarial_drop(df: DataFrame, proba: str, pct: float, tie_cols: Sequence[s
     """
     order = [proba, *tie_cols]
     k = F.bround(F.col("n") * F.lit(float(pct))).cast("bigint")
-    cut = pick_ranks(df, [], order, {"cut": k - 1}).select("cut")
+    cut = rank_threshold(df, [], order, k - 1).select("cut")
     return df.withColumn("__cut", cut.scalar()).where(_beyond(order, F.col("__cut"))).drop("__cut")
 
 
@@ -160,15 +160,16 @@ def safety_filter(
         F.min(F.when(both, y)).alias("y_lo"), F.max(F.when(both, y)).alias("y_hi"),
         F.count_distinct(F.when(both & (y != F.lit(0)) & (y != F.lit(1)), y)).alias("other_y"),
         F.min(F.when(both, x)).alias("x_lo"), F.max(F.when(both, x)).alias("x_hi"),
-        F.corr(F.when(both, x), F.when(both, y)).alias("r"),
-    )
+        F.covar_pop(F.when(both, x), F.when(both, y)).alias("cov"),
+        F.stddev_pop(F.when(both, x)).alias("sx"), F.stddev_pop(F.when(both, y)).alias("sy"),
+    ).withColumn("r", F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")))
     two_classes = (F.col("y_lo") < F.col("y_hi")) & (F.col("other_y") == 0)
     reason = (
         F.when(F.col("lo").isNull() | (F.col("lo") == F.col("hi")), "constant")
         .when(F.col("missing") >= missing_limit, "high_missing")
         .when(F.col("same") & two_classes, "leak_equal")
         .when(F.col("x_lo") == F.col("x_hi"), "constant")
-        .when(~F.isnan("r") & (F.abs("r") >= leak_limit), "leak_high_corr")
+        .when(F.abs("r") >= leak_limit, "leak_high_corr")
     )
     out = stats.select("feature", reason.alias("reason"))
     if fixed:
@@ -184,15 +185,15 @@ def stratified_split(
     """Tag rows ``train``/``val``, the same share of every label value (null is a value of its own).
 
     Rows are ordered by a seeded hash of ``key_cols``; rows with equal keys stay together. With a label
-    value that occurs once the split is not stratified.
+    value that occurs once the split is not stratified; that check is an aggregation run up front.
     """
     rows = df.withColumns(
         {"__s": F.coalesce(F.col(label).cast("bigint"), F.lit(-1)), "__h": hash_order(key_cols, seed)}
     )
-    single = rows.groupBy("__s").count().agg(F.coalesce(F.min("count") == 1, F.lit(False))).scalar()
-    rows = rows.withColumn("__s", F.when(single, F.lit(-1)).otherwise(F.col("__s")))
+    if rows.groupBy("__s").count().agg(F.min("count")).first()[0] == 1:
+        rows = rows.withColumn("__s", F.lit(-1).cast("bigint"))
     last = F.round(F.col("n") * F.lit(float(train_ratio))).cast("bigint") - 1
-    cuts = pick_ranks(rows, ["__s"], ["__h"], {"cut": last}).select(
+    cuts = rank_threshold(rows, ["__s"], ["__h"], last).select(
         F.col("__s").alias("__stratum"), F.col("cut.__h").alias("__cut")
     )
     # One row per label value.
@@ -209,6 +210,6 @@ def negative_downsample(
     positives = rows.select(F.count_if(F.col(label) == 1)).scalar()
     last = F.floor(positives * F.lit(float(per_positive))).cast("bigint") - 1
     negatives = rows.where(F.col(label) == 0)
-    cut = pick_ranks(negatives, [], ["__h"], {"cut": F.least(last, F.col("n") - 1)}).select("cut.__h")
+    cut = rank_threshold(negatives, [], ["__h"], F.least(last, F.col("n") - 1)).select("cut.__h")
     keep = (F.col(label) == 1) | (F.col("__h") <= F.col("__cut"))
     return rows.withColumn("__cut", cut.scalar()).where(keep).drop("__h", "__cut")

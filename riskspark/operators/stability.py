@@ -44,7 +44,7 @@ def _grouped_psi(
 ) -> DataFrame:
     edges = quantile_edges(long.where(base), ["feature"], n_bins=n_bins, digits=digits)
     placed = attach_edges(long, edges, ["feature"], len(features), n_bins).withColumn(
-        "bin", bin_index(F.col("value"), F.col("edges"), n_bins)
+        "bin", bin_index("value", "edges", n_bins)
     )
     # One row per (feature, group) with a counter per bin, so that empty bins need no grid.
     counts = placed.groupBy("feature", group).agg(

@@ -17,6 +17,7 @@ def local_session(cpus: int | None = None, app: str = "riskspark") -> SparkSessi
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
     )
