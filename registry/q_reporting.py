@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from registry import query
 from registry.base import MODELS, OOT, OOT_MONTHS, S, bin_sql, edges_sql, pairs_sql, rank_sql, rounded, sample
 from riskspark.operators import report
+from riskspark.sources.staging import stage
 
 _COLS = ["y", "y2", "score_new", "score_old", "okey", "line"]
 _R = f"""{S}, r AS (SELECT month, uid, """ + ", ".join(
@@ -16,7 +17,7 @@ _R = f"""{S}, r AS (SELECT month, uid, """ + ", ".join(
 
 def _frame(spark, sf) -> DataFrame:
     rows = sample(spark, sf).select("uid", "dt", *_COLS)
-    return report.report_frame(rows, "uid", "dt", ["okey", "line"])
+    return stage(report.report_frame(rows, "uid", "dt", ["okey", "line"]))
 
 
 def _total_zero(df: DataFrame, *axes: str) -> DataFrame:

@@ -196,12 +196,56 @@ def score_label_pairs(
     )
 
 
+def multi_label_metrics(
+    df: DataFrame, keys: Sequence[str], models: dict[str, str], labels: Sequence[str]
+) -> DataFrame:
+    """``(keys…, model, label, n, n_bad, auc, ks, gini)`` for every model × label with scored rows.
+
+    All labels ride on one sort of the scores: each distinct score carries a bad and a good count per
+    label, and a label that says nothing about a score leaves its running totals as they are.
+    """
+    cells = [
+        F.struct(F.lit(name).alias("model"), F.col(column).cast("double").alias(_SCORE))
+        for name, column in models.items()
+    ]
+    y = [F.col(lab).cast("double").alias(f"__y{i}") for i, lab in enumerate(labels)]
+    long = df.select(*keys, *y, F.inline(F.array(*cells))).where(F.col(_SCORE).isNotNull() & ~F.isnan(_SCORE))
+    counts = long.groupBy(*keys, "model", _SCORE).agg(
+        *[F.count_if(F.col(f"__y{i}") > 0).alias(f"bad{i}") for i in range(len(labels))],
+        *[F.count_if(F.col(f"__y{i}") <= 0).alias(f"good{i}") for i in range(len(labels))],
+    )
+    sums = [f"{side}{i}" for side in ("bad", "good") for i in range(len(labels))]
+    group = [*keys, "model"]
+    t = running_totals(counts, group, [_SCORE], sums)
+    measures = []
+    for i in range(len(labels)):
+        measures += [
+            f"max(total_bad{i}) AS b{i}",
+            f"max(total_good{i}) AS g{i}",
+            f"sum(CAST(bad{i} AS DOUBLE) * (before_good{i} + 0.5D * good{i})) AS p{i}",
+            f"max(abs(try_divide(before_bad{i} + bad{i}, total_bad{i}) - "
+            f"try_divide(before_good{i} + good{i}, total_good{i}))) AS k{i}",
+        ]
+    table = t.groupBy(*group).agg(*[F.expr(m) for m in measures])
+    per_label = [
+        F.struct(
+            F.lit(lab).alias("label"),
+            (F.col(f"b{i}") + F.col(f"g{i}")).alias("n"),
+            F.col(f"b{i}").alias("n_bad"),
+            F.try_divide(F.col(f"p{i}"), F.col(f"b{i}").cast("double") * F.col(f"g{i}")).alias("auc"),
+            F.when((F.col(f"b{i}") > 0) & (F.col(f"g{i}") > 0), F.col(f"k{i}")).alias("ks"),
+        )
+        for i, lab in enumerate(labels)
+    ]
+    m = table.select(*group, F.inline(F.array(*per_label))).where(F.col("n") > 0)
+    return m.withColumn("gini", F.abs(F.lit(2.0) * F.col("auc") - F.lit(1.0)))
+
+
 def ks_grid(
     df: DataFrame, month: str, models: dict[str, str], labels: Sequence[str], min_cnt: int = 30
 ) -> DataFrame:
     """KS per month × label × model; null below ``min_cnt`` rows or with one class."""
-    pairs = score_label_pairs(df, [month], models, labels)
-    m = rank_metrics(pairs, "score", "y", ["model", "label", month])
+    m = multi_label_metrics(df, [month], models, labels)
     return m.select(
         "model", "label", month, "n",
         F.when(F.col("n") >= min_cnt, F.round("ks", 4)).alias("ks"),
@@ -218,6 +262,5 @@ def ks_oot(
     df: DataFrame, month: str, models: dict[str, str], labels: Sequence[str], oot: tuple[str, str]
 ) -> DataFrame:
     """KS per model × label over all out-of-time months together."""
-    pairs = score_label_pairs(df.where(F.col(month).between(*oot)), [], models, labels)
-    m = rank_metrics(pairs, "score", "y", ["model", "label"])
+    m = multi_label_metrics(df.where(F.col(month).between(*oot)), [], models, labels)
     return m.select("model", "label", "n", F.round("ks", 4).alias("ks"))

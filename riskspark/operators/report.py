@@ -10,7 +10,7 @@ from riskspark.functions.dates import date_column, month_key
 from riskspark.operators.bins import attach_edges, bin_index, quantile_edges, unpivot_features
 from riskspark.operators.clean import dedup_first_nonnull
 from riskspark.operators.project import population_filter
-from riskspark.operators.quality import rank_metrics, score_label_pairs
+from riskspark.operators.quality import multi_label_metrics, score_label_pairs
 from riskspark.operators.stability import psi_term
 
 MIN_COUNT = 30
@@ -324,8 +324,7 @@ def report_checks(
             )
         )
     )
-    pairs = score_label_pairs(df.where(in_oot), [], models, labels)
-    ks = rank_metrics(pairs, "score", "y", ["model", "label"]).where(F.col("n_bad") > 0)
+    ks = multi_label_metrics(df.where(in_oot), [], models, labels).where(F.col("n_bad") > 0)
     k = F.coalesce("ks", F.lit(0.0))
     checks = counted.unionByName(
         ks.select(*row("oot_ks", F.col("model"), F.col("label"), k, ~((k > 0) & (k < 1))))

@@ -18,6 +18,7 @@ from riskspark.operators.report import (
 )
 from riskspark.operators.scorecard import apply_scorecard
 from riskspark.operators.validate import require_columns
+from riskspark.sources.staging import stage
 from riskspark.spec import SampleSpec
 
 
@@ -73,15 +74,17 @@ class ReportConfig:
 
 
 def evaluation_report(df: DataFrame, config: ReportConfig) -> dict[str, DataFrame]:
-    """Every table of the report. Write the ``frame`` once and pass it back in to avoid re-deriving it."""
+    """Every table of the report, lazily, over a frame that is de-duplicated and written once."""
     needed = dict.fromkeys(
         [config.id_col, config.dt_col, *config.models.values(), *config.labels, *config.order_cols,
          *(config.conditions or {})]
     )
     require_columns(df, [*config.models.values(), *config.labels])
-    frame = report_frame(
-        df.select(*[c for c in needed if c in df.columns]), config.id_col, config.dt_col,
-        config.order_cols, config.conditions,
+    frame = stage(
+        report_frame(
+            df.select(*[c for c in needed if c in df.columns]), config.id_col, config.dt_col,
+            config.order_cols, config.conditions,
+        )
     )
     names, primary = list(config.models), config.labels[0]
     new = config.models[names[0]]
