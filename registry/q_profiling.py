@@ -164,6 +164,23 @@ def _(spark, sf):
     return rounded(iv.feature_iv(sample(spark, sf), "y", FEATURES, digits=6), 8, "iv")
 
 
+@query(
+    "feature_alerts",
+    f"""{MONTHLY_PSI}, {iv_cte('feature').replace(' e AS', ' ie AS').replace('JOIN e', 'JOIN ie').replace('c AS (SELECT feature, CASE', 'ic AS (SELECT feature, CASE').replace('FROM c)', 'FROM ic)')}
+    SELECT feature, 'unstable' AS alert, round(max(psi), 8) AS value FROM psi WHERE month <> '{BASE_MONTH}' GROUP BY feature HAVING max(psi) > 0.02
+    UNION ALL SELECT feature, 'leakage', round(sum(iv_part), 8) FROM v GROUP BY feature HAVING sum(iv_part) > 0.0003
+    UNION ALL SELECT feature, 'missing', round(1 - count(value) / count(*), 8) FROM l GROUP BY feature HAVING 1 - count(value) / count(*) > 0.06""",
+)
+def _(spark, sf):
+    s = sample(spark, sf)
+    psi = stability.monthly_psi(s, "month", FEATURES, BASE_MONTH, digits=6)
+    ivs = iv.feature_iv(s, "y", FEATURES, digits=6)
+    coverage = unpivot_features(s, [], FEATURES).groupBy("feature").agg(
+        F.avg(F.col("value").isNotNull().cast("double")).alias("coverage")
+    )
+    return rounded(stability.feature_alerts(psi, ivs, coverage, 0.02, 0.0003, 0.06), 8, "value")
+
+
 @query(
     "woe_table",
     f"""WITH {S}, {LONG}, {iv_cte('feature')} SELECT feature, CAST(bin AS INTEGER) AS bin, n_good, n_bad, round(good_share, 8) AS good_share,

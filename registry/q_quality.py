@@ -8,7 +8,7 @@ from registry import query
 from registry.base import (
     FEATURES, MODELS, OOT, OOT_MONTHS, S, SPLIT_TAG, SPLITS, long_sql, pairs_sql, rank_sql, rounded, sample,
 )
-from registry.q_profiling import iv_cte
+from registry.q_profiling import _psi_cte, iv_cte
 from riskspark.operators import iv, project, quality
 
 
@@ -76,6 +76,26 @@ def _(spark, sf):
     return quality.decile_table(tagged, "score_new", "y", ["split"], ["qty"])
 
 
+@query(
+    "split_deciles",
+    f"""WITH {S}, t0 AS (SELECT *, {SPLIT_TAG} AS split FROM s),
+      t AS (SELECT * FROM t0 WHERE split IS NOT NULL UNION ALL SELECT * REPLACE ('all' AS split) FROM t0 WHERE split IS NOT NULL),
+      {_decile_sql('split', 'TRUE')}""",
+)
+def _(spark, sf):
+    return quality.split_deciles(project.split_tag(sample(spark, sf), "dt", SPLITS), "score_new", "y", "split", ["qty"])
+
+
+@query(
+    "split_score_psi",
+    f"""WITH {S}, u AS (SELECT score_old, {SPLIT_TAG} AS side FROM s), l AS (SELECT side, 'score_old' AS feature, score_old AS value FROM u WHERE side IN ('test', 'oot')),
+      {_psi_cte('side', "side = 'test'", 'l')} SELECT feature, round(psi, 8) AS psi FROM psi WHERE side = 'oot'""",
+)
+def _(spark, sf):
+    tagged = project.split_tag(sample(spark, sf), "dt", SPLITS)
+    return rounded(quality.split_score_psi(tagged, "score_old", "split", "test", "oot", digits=6), 8, "psi")
+
+
 @query(
     "split_evaluation",
     f"""WITH {S}, t AS (SELECT score_old, y, {SPLIT_TAG} AS split FROM s),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskspark.operators.ranks import running_totals
+from riskspark.operators.stability import feature_psi
 
 _SCORE = "__score"
 
@@ -177,6 +178,23 @@ def split_evaluation(df: DataFrame, score: str, label: str, split: str) -> DataF
     )
 
 
+def split_deciles(
+    df: DataFrame, score: str, label: str, split: str, biz_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Decile table of every split and of ``all`` rows together."""
+    both = df.withColumn(split, F.explode(F.array(F.col(split), F.lit("all"))))
+    return decile_table(both, score, label, [split], biz_cols)
+
+
+def split_score_psi(
+    df: DataFrame, score: str, split: str, base: str = "val", actual: str = "oot", n_bins: int = 10,
+    digits: int | None = None,
+) -> DataFrame:
+    """PSI of the score between two splits, on the deciles of the base split."""
+    sides = [df.where(F.col(split) == side).select(score) for side in (base, actual)]
+    return feature_psi(sides[0], sides[1], [score], n_bins, digits)
+
+
 def score_label_pairs(
     df: DataFrame, keep: Sequence[str], models: dict[str, str], labels: Sequence[str]
 ) -> DataFrame:

@@ -71,22 +71,22 @@ def diagnose_runs(
 
 def metric_reconcile(
     reported: DataFrame, computed: DataFrame, keys: list[str], value: str = "value",
-    tolerance: float = METRIC_TOLERANCE,
+    tolerance: float | None = METRIC_TOLERANCE,
 ) -> DataFrame:
-    """Reported against computed metrics on their full key: ``ok``, ``differs`` or ``not_computed``."""
+    """Reported against computed values on their full key: ``ok``, ``differs`` or ``not_computed``.
+
+    ``tolerance=None`` compares means of score-card points, within the larger of 30 points and 3 %.
+    """
     both = reported.select(*keys, F.col(value).alias("reported")).join(
         computed.select(*keys, F.col(value).alias("computed")), keys, "left"
     )
     delta = F.abs(F.col("reported") - F.col("computed"))
-    status = F.when(F.col("computed").isNull(), "not_computed").when(delta <= tolerance, "ok").otherwise("differs")
+    points, share = MEAN_TOLERANCE
+    allowed = F.greatest(F.lit(points), F.lit(share) * F.abs("computed")) if tolerance is None else F.lit(tolerance)
+    status = F.when(F.col("computed").isNull(), "not_computed").when(delta <= allowed, "ok").otherwise("differs")
     return both.select(*keys, "reported", "computed", delta.alias("delta"), status.alias("status"))
 
 
-def mean_tolerance(mean: Column) -> Column:
-    """Allowed gap between a reported and a computed mean of score-card points."""
-    return F.greatest(F.lit(MEAN_TOLERANCE[0]), F.lit(MEAN_TOLERANCE[1]) * F.abs(mean))
-
-
 def noise_pairs(left: DataFrame, right: DataFrame, keys: list[str], metric: str = "auc", n: str = "n") -> DataFrame:
     """Compare two versions run by run: a delta under 0.005 on fewer than 5 000 rows is noise."""
     both = left.select(*keys, F.col(metric).alias("m1"), F.col(n).alias("n1")).join(

@@ -157,17 +157,15 @@ def safety_filter(
         F.min("value").alias("lo"), F.max("value").alias("hi"),
         F.avg(x.isNull().cast("double")).alias("missing"),
         F.bool_and(F.when(both, x == y)).alias("same"),
-        F.min(F.when(both, y)).alias("y_lo"), F.max(F.when(both, y)).alias("y_hi"),
-        F.count_distinct(F.when(both & (y != F.lit(0)) & (y != F.lit(1)), y)).alias("other_y"),
+        F.count_distinct(F.when(both, y)).alias("classes"),
         F.min(F.when(both, x)).alias("x_lo"), F.max(F.when(both, x)).alias("x_hi"),
         F.covar_pop(F.when(both, x), F.when(both, y)).alias("cov"),
         F.stddev_pop(F.when(both, x)).alias("sx"), F.stddev_pop(F.when(both, y)).alias("sy"),
     ).withColumn("r", F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")))
-    two_classes = (F.col("y_lo") < F.col("y_hi")) & (F.col("other_y") == 0)
     reason = (
         F.when(F.col("lo").isNull() | (F.col("lo") == F.col("hi")), "constant")
         .when(F.col("missing") >= missing_limit, "high_missing")
-        .when(F.col("same") & two_classes, "leak_equal")
+        .when(F.col("same") & (F.col("classes") == 2), "leak_equal")
         .when(F.col("x_lo") == F.col("x_hi"), "constant")
         .when(F.abs("r") >= leak_limit, "leak_high_corr")
     )

@@ -107,3 +107,21 @@ def feature_psi(
 def psi_alerts(psi: DataFrame, limit: float = PSI_ALERT) -> DataFrame:
     """Features whose PSI exceeds the limit in any month."""
     return psi.groupBy("feature").agg(F.max("psi").alias("max_psi")).where(F.col("max_psi") > limit)
+
+
+def feature_alerts(
+    psi: DataFrame, iv: DataFrame, coverage: DataFrame,
+    psi_limit: float = PSI_ALERT, iv_limit: float = IV_LEAKAGE, missing_limit: float = MISSING_LIMIT,
+) -> DataFrame:
+    """``(feature, alert, value)``: unstable in some month, suspiciously predictive, or almost empty.
+
+    Takes the tables of ``monthly_psi``, ``feature_iv`` and ``feature_distribution``.
+    """
+    def rows(table: DataFrame, alert: str, value: Column, limit: float) -> DataFrame:
+        return table.select("feature", F.lit(alert).alias("alert"), value.alias("value")).where(F.col("value") > limit)
+
+    return (
+        rows(psi_alerts(psi, psi_limit), "unstable", F.col("max_psi"), psi_limit)
+        .unionByName(rows(iv, "leakage", F.col("iv"), iv_limit))
+        .unionByName(rows(coverage, "missing", F.lit(1.0) - F.col("coverage"), missing_limit))
+    )

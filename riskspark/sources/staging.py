@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 def staging_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def stage(df: DataFrame) -> DataFrame:
