@@ -202,10 +202,10 @@ def _(spark, sf):
 @query(
     "mean_reconcile",
     f"""WITH {CARD}, t AS (SELECT *, {SPLIT_TAG} AS split FROM b WHERE bs IS NOT NULL),
-      a AS (SELECT uid, avg(bs) AS m FROM t WHERE split = 'train' GROUP BY uid), c AS (SELECT uid, avg(bs) AS m FROM t WHERE split = 'oot' GROUP BY uid)
+      ma AS (SELECT uid, avg(bs) AS m FROM t WHERE split = 'train' GROUP BY uid), mc AS (SELECT uid, avg(bs) AS m FROM t WHERE split = 'oot' GROUP BY uid)
     SELECT a.uid AS run, round(a.m, 4) AS reported, round(c.m, 4) AS computed, round(abs(a.m - c.m), 4) AS delta,
       CASE WHEN c.m IS NULL THEN 'not_computed' WHEN abs(a.m - c.m) <= greatest(30, 0.03 * abs(c.m)) THEN 'ok' ELSE 'differs' END AS status
-    FROM a LEFT JOIN c ON a.uid = c.uid""",
+    FROM ma a LEFT JOIN mc c ON a.uid = c.uid""",
 )
 def _(spark, sf):
     t = project.split_tag(sample(spark, sf), "dt", SPLITS).where(F.col("score_old").isNotNull())
