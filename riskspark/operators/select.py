@@ -7,6 +7,7 @@ table itself is never sorted or shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -190,7 +191,8 @@ def stratified_split(
     )
     if rows.groupBy("__s").count().agg(F.min("count")).first()[0] == 1:
         rows = rows.withColumn("__s", F.lit(-1).cast("bigint"))
-    last = F.round(F.col("n") * F.lit(float(train_ratio))).cast("bigint") - 1
+    # Decimal, so that a share ending in .5 rounds up whatever its binary form.
+    last = F.round(F.col("n") * F.lit(Decimal(str(train_ratio)))).cast("bigint") - 1
     cuts = rank_threshold(rows, ["__s"], ["__h"], last).select(
         F.col("__s").alias("__stratum"), F.col("cut.__h").alias("__cut")
     )
