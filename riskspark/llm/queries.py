@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import mixing, secrets
+from riskspark.llm import decontaminate, mixing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,6 +65,35 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+DECONTAMINATE_SQL = r"""
+WITH d AS (SELECT doc_id, xx, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM (SELECT doc_id, row_number() OVER () AS xx, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark)),
+w AS (SELECT DISTINCT item_id, least(len(words), 13) AS n, array_to_string(words[i : i + least(len(words), 13) - 1], ' ') AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 13, 0) + 2)) AS i FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM w),
+p AS (SELECT doc_id, xx, n, i, array_to_string(words[i : i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, xx, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, sizes WHERE len(words) >= n)),
+h AS (SELECT p.doc_id, p.xx, p.n, i, item_id FROM p JOIN w ON p.win = w.win AND p.n = w.n),
+hit AS (SELECT xx, count(DISTINCT place) AS n_hit FROM (SELECT xx, unnest(range(i, i + n)) AS place FROM h) GROUP BY xx),
+ids AS (SELECT xx, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT xx, item_id FROM h) GROUP BY xx)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (xx) LEFT JOIN ids USING (xx)"""
+
+
+@query("op4_decontaminate", DECONTAMINATE_SQL)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 @query("op7_secrets")
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -77,3 +106,9 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(F.expr(_joined(base)).cast("binary"), 256).alias("base_sha256"),
         F.expr(_joined("spans")).alias("spans"),
     )
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
