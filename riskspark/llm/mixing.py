@@ -20,6 +20,7 @@ from riskspark.sources.staging import stage
 
 HASH_BITS = 60
 STEP_BITS = 12
+SALTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -75,9 +76,13 @@ def add_targets(weighed: DataFrame, max_repeat: float = 3.0) -> DataFrame:
     return weighed.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
+def _salted(per_source: DataFrame, name: str) -> DataFrame:
+    return per_source.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, below): documents with a hash of at most ``below`` are taken once more than the whole copies."""
-    same = sized["source"].eqNullSafe(F.col("b_source"))
+    same = sized["source"].eqNullSafe(F.col("b_source")) & (sized["salt"] == F.col("b_salt"))
     open_ = targets.select(
         F.col("source").alias("b_source"),
         (F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).alias("budget"),
@@ -86,7 +91,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     done = None
     for used in range(0, HASH_BITS, STEP_BITS):
         left = HASH_BITS - used - STEP_BITS
-        inside = sized.join(open_, same & (F.shiftright("h", HASH_BITS - used) == F.col("prefix")))
+        # A source may hold most rows: its one line is repeated for every salt.
+        inside = sized.join(_salted(open_, "b_salt"), same & (F.shiftright("h", HASH_BITS - used) == F.col("prefix")))
         histogram = inside.groupBy("b_source", F.shiftright("h", left).alias("bucket")).agg(
             F.first("budget").alias("budget"), F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"),
         )
@@ -118,15 +124,15 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return done
 
 
-def plan(
+def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeat: float = 3.0
 ) -> DataFrame:
-    """(id, size, source_size, target, copies, taken) for every document."""
+    """``docs`` with (size, source_size, target, copies, taken); a row with no copies is not in the mix."""
     text = F.col(text_col)
+    h = row_hash(F.col(id_col), text)
     sized = stage(
-        docs.select(
-            F.col(id_col).alias("__id"), F.col(source_col).alias("source"), n_words(text).alias("size"),
-            row_hash(F.col(id_col), text).alias("h"),
+        docs.select(F.col(source_col).alias("source"), n_words(text).alias("size"), h.alias("h")).withColumn(
+            "salt", F.pmod("h", F.lit(SALTS)).cast("int")
         )
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -134,10 +140,14 @@ def plan(
     limits = targets.join(
         thresholds(sized, targets).withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")), "left"
     ).select(F.col("source").alias("l_source"), "source_size", "target", "below")
-    extra = (F.col("h") <= F.coalesce(F.col("below"), F.lit(-1))).cast("int")
+    limits = _salted(limits, "l_salt")
+    mine = F.col("__source").eqNullSafe(F.col("l_source")) & (F.pmod("__h", F.lit(SALTS)) == F.col("l_salt"))
+    extra = (F.col("__h") <= F.coalesce(F.col("below"), F.lit(-1))).cast("int")
     whole = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("int")
     copies = F.least(whole + extra, F.lit(int(max_repeat)))
-    return sized.join(limits, F.col("source").eqNullSafe(F.col("l_source"))).select(
-        F.col("__id").alias(id_col), "size", "source_size", "target", copies.alias("copies"),
-        (F.col("size") * copies).alias("taken"),
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+    return (
+        docs.select(*own, F.col(source_col).alias("__source"), n_words(text).alias("size"), h.alias("__h"))
+        .join(limits, mine)
+        .select(*own, "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
     )

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, mixing, secrets, simhash
+from riskspark.llm import decontaminate, langid, mixing, secrets, simhash
+from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,7 +63,16 @@ FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source"""
 
 @query("op2_mixing", MIX_SQL)
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.plan(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+@query("op3_langid")
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    found = langid.predict(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 DECONTAMINATE_SQL = r"""
