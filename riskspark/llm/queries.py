@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, langid, mixing, secrets, simhash
+from riskspark.llm import decontaminate, forest, langid, mixing, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 4)
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 2)
+    return toxicity.predict(docs, index).select(
+        "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence"
+    )
+
+
 @query("op6_forest")
 def op6_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"))
