@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, langid, mixing, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, langid, mixing, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def _joined(spans: str) -> str:
     return f"concat_ws(',', transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)))"
 
 
+@query("op1_repeats")
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
