@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, langid, mixing, repeats, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, grulm, langid, mixing, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op10_grulm")
+def op10_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 10) == 0
+    vocabulary, network, _ = grulm.fit(docs, ~held_out)
+    return grulm.score(docs, held_out, vocabulary, network)
