@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, grulm, langid, mixing, repeats, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, grulm, langid, licenses, mixing, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), F.expr(
+        "array_join(array_sort(array_distinct(spans.license)), ',')").alias("licenses"), "spans")
+
+
 @query("op10_grulm")
 def op10_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
