@@ -82,30 +82,39 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 12, rate: float = 2.0,
-          batch: int = 32, seed: int = 7) -> Model:
-    """``x``: rows of mean bucket counts; ``y``: label indices. Every tenth row calibrates."""
+def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Mean bucket counts of a few rows."""
+    x = np.zeros((len(rows), 1 << BUCKET_BITS), np.float32)
+    for i, (bucket, n) in enumerate(rows):
+        x[i, bucket] = n / max(1, n.sum())
+    return x
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 12,
+          rate: float = 2.0, batch: int = 32, seed: int = 7) -> Model:
+    """``rows``: seen buckets and their counts; ``y``: label indices. Every tenth row calibrates."""
     rng = np.random.default_rng(seed)
-    embed = rng.normal(0, 0.3, (x.shape[1], dims)).astype(np.float32)
+    embed = rng.normal(0, 0.3, (1 << BUCKET_BITS, dims)).astype(np.float32)
     weights, bias = np.zeros((dims, len(labels)), np.float32), np.zeros(len(labels), np.float32)
-    held = np.arange(len(x)) % 10 == 9
-    fit = np.flatnonzero(~held) if (~held).any() else np.arange(len(x))
+    held = np.arange(len(rows)) % 10 == 9
+    fit = np.flatnonzero(~held)
     scale = np.float32(20.0)  # means are small numbers; this keeps one rate good for both layers
     for epoch in range(epochs):
         step = np.float32(rate * (1 - epoch / epochs))
         order = rng.permutation(fit)
         for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
-            h = scale * (x[rows] @ embed)
+            some = order[at : at + batch]
+            x = _dense([rows[i] for i in some])
+            h = scale * (x @ embed)
             g = _softmax(h @ weights + bias)
-            g[np.arange(len(rows)), y[rows]] -= 1
-            g /= len(rows)
+            g[np.arange(len(some)), y[some]] -= 1
+            g /= len(some)
             gh = g @ weights.T
             weights -= step * (h.T @ g)
             bias -= step * g.sum(axis=0)
-            embed -= step * scale * (x[rows].T @ gh)
+            embed -= step * scale * (x.T @ gh)
     check = np.flatnonzero(held) if held.any() else fit
-    z = scale * (x[check] @ embed) @ weights + bias
+    z = np.concatenate([_dense([rows[i]]) @ embed for i in check]) @ weights * scale + bias
     best, loss = 1.0, np.inf
     for heat in np.geomspace(0.25, 16, 49):
         p = _softmax(z / heat)[np.arange(len(check)), y[check]]
@@ -119,34 +128,33 @@ def train(x: np.ndarray, y: np.ndarray, labels: list[str], dims: int = 16, epoch
 
 
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
-        max_per_label: int = 1000, max_labels: int = 256) -> Model:
+        max_per_label: int = 500, max_labels: int = 256) -> Model:
     """Train on about ``max_per_label`` rows of each of the ``max_labels`` most frequent labels where ``learn`` holds."""
     label = F.col(label_col)
-    rows = docs.where(learn & label.isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+    known = docs.where(learn & label.isNotNull() & F.col(text_col).isNotNull())
+    counts = known.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
     counts = {r["label"]: r["n"] for r in counts.orderBy(F.desc("n"), "label").limit(max_labels).collect()}
     labels = sorted(counts)
     if not labels:
         return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0, np.float32), 0.0)
     cut = F.create_map(*(F.lit(v) for k in labels for v in (k, int(_SAMPLE_SPACE * min(1.0, max_per_label / counts[k])))))
     mix = id_mix(F.col(id_col), F.lit("language"))
-    chosen = rows.where(F.pmod(mix, F.lit(_SAMPLE_SPACE)) < F.element_at(cut, label))
+    chosen = known.where(F.pmod(mix, F.lit(_SAMPLE_SPACE)) < F.element_at(cut, label))
 
     def features(mixed, name, data) -> Iterator[tuple]:
         counts = subword_counts(data)
         seen = np.flatnonzero(counts)
-        yield mixed, name, seen.tolist(), counts[seen].tolist()
-
-    schema = "mix long, label string, bucket array<int>, n array<long>"
-    found = map_rows(chosen.select(mix.alias("mix"), label.alias("label"), F.col(text_col).cast("binary").alias("data")), schema, features)
-    sample = sorted(found.limit(2 * max_per_label * len(labels)).collect(), key=lambda r: (r["mix"], r["label"]))
-    if not sample:
+        yield mixed, name, seen.astype(np.int32).tobytes(), counts[seen].astype(np.int32).tobytes()
+
+    schema = "mix long, label string, bucket binary, n binary"
+    source = chosen.select(mix.alias("mix"), label.alias("label"), F.col(text_col).cast("binary").alias("data"))
+    sample = map_rows(source, schema, features).limit(2 * max_per_label * len(labels)).toArrow()
+    # Bounded: max_per_label times labels rows of at most two numbers per bucket.
+    order = sorted(range(sample.num_rows), key=lambda i: (sample["mix"][i].as_py(), sample["label"][i].as_py()))
+    if not order:
         return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0, np.float32), 0.0)
-    x = np.zeros((len(sample), 1 << BUCKET_BITS), np.float32)
-    for i, r in enumerate(sample):
-        x[i, r["bucket"]] = r["n"]
-    x /= np.maximum(1, x.sum(axis=1, keepdims=True))
-    return train(x, np.array([labels.index(r["label"]) for r in sample]), labels)
+    rows = [tuple(np.frombuffer(sample[c][i].as_py(), np.int32) for c in ("bucket", "n")) for i in order]
+    return train(rows, np.array([labels.index(sample["label"][i].as_py()) for i in order]), labels)
 
 
 def predict(
