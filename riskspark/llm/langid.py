@@ -25,7 +25,7 @@ from riskspark.llm.base import id_mix, map_rows
 BUCKET_BITS = 14
 ORDERS = (2, 3, 4)
 PIECE = 1 << 20
-MAX_REJECT = 0.5
+MAX_REJECT = 0.3
 UNKNOWN = "und"
 _SAMPLE_SPACE = 1 << 30
 
