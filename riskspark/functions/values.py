@@ -11,10 +11,14 @@ ID_CARD = r"\b\d{17}[\dxX]\b"
 MOBILE = r"\b1[3-9]\d{9}\b"
 
 
+def null_if_nan(col: Column) -> Column:
+    """NaN becomes null; for columns that are doubles already."""
+    return F.when(~F.isnan(col), col)
+
+
 def to_number(col: Column) -> Column:
     """Numeric coercion: text that is not a number, and NaN, become null."""
-    number = col.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return null_if_nan(col.try_cast("double"))
 
 
 def is_numeric(kind: T.DataType) -> bool:
@@ -33,11 +37,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def check_sensitive(text: str) -> None:
-    """Reject a column name or a filter text that carries an ID-card or mobile number."""
-    for pattern in (ID_CARD, MOBILE):
-        if text and re.search(pattern, text):
-            raise ValueError("text carries a personal identifier")
+_PERSONAL = re.compile(f"{ID_CARD}|{MOBILE}")
+
+
+def holds_personal_number(text: str | None) -> bool:
+    return bool(_PERSONAL.search(text or ""))
+
+
+def reject_personal_number(text: str | None) -> None:
+    """For column names and filter texts, which end up in logs and reports."""
+    if holds_personal_number(text):
+        raise ValueError("text carries a personal identifier")
 
 
 def label_family(name: Column) -> Column:

@@ -7,17 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskspark.functions.values import null_if_nan
 from riskspark.operators.ranks import exact_quantiles, quoted
 
 # A broadcast edge table is at most this many numbers (16 MB); wider ones are joined by shuffle, where
 # adaptive execution splits skewed partitions.
 BROADCAST_NUMBERS = 2_000_000
-MAX_MONTHS = 1200
 
 
 def unpivot_features(df: DataFrame, keep: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Long rows ``(keep…, feature, value)``; one pass, features as doubles."""
-    typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features])
+    """Long rows ``(keep…, feature, value)``; one pass, features as doubles, NaN as null."""
+    typed = df.select(*keep, *[null_if_nan(F.col(c).cast("double")).alias(c) for c in features])
     return typed.unpivot(list(keep), list(features), "feature", "value")
 
 
@@ -67,11 +67,14 @@ def bin_index(value: str, edges: str, n_bins: int) -> Column:
 
 
 def attach_edges(
-    rows: DataFrame, edges: DataFrame, keys: Sequence[str], groups: int, n_bins: int
+    rows: DataFrame, edges: DataFrame, keys: Sequence[str], groups: int | None, n_bins: int
 ) -> DataFrame:
-    """Join edge arrays onto rows. ``groups`` is a proven bound on the number of edge rows."""
+    """Join edge arrays onto rows. ``groups`` is a proven bound on the number of edge rows, null without one.
+
+    Without a bound the measured size of the edge table decides at run time between broadcast and shuffle.
+    """
     fitted = edges.select(*[F.col(k).alias(f"__{k}") for k in keys], "edges")
-    if groups * (n_bins + 1) <= BROADCAST_NUMBERS:
+    if groups is not None and groups * (n_bins + 1) <= BROADCAST_NUMBERS:
         fitted = F.broadcast(fitted)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     return rows.join(fitted, same, "left").drop(*[f"__{k}" for k in keys])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from riskspark.functions.values import is_numeric
 from riskspark.operators.validate import require_columns
@@ -26,24 +26,27 @@ NAME_PATTERNS = (
 ANONYMOUS = r"^([a-zA-Z]+)_(\d+)$"
 
 
-def _name_class(
-    name: str,
-    numeric: bool,
-    label_prefixes: Sequence[str],
-    flag_prefixes: Sequence[str],
-    extra_patterns: Iterable[str],
-) -> tuple[str | None, str]:
-    """Class and reason by name; class ``None`` means the values decide (0/1 flags)."""
-    if name.startswith(tuple(label_prefixes)):
-        return NON_FEATURE, "label"
-    for pattern, reason in (*NAME_PATTERNS, *((p, "custom rule") for p in extra_patterns)):
-        if re.search(pattern, name):
-            return NON_FEATURE, reason
-    if name.startswith(tuple(flag_prefixes)):
-        return (None, "flag") if numeric else (AMBIGUOUS, "flag prefix, values unchecked")
-    if re.match(ANONYMOUS, name):
-        return AMBIGUOUS, "anonymous code"
-    return FEATURE, "default"
+# What a rule says of a column; ``None`` leaves it to the values (a column of 0 and 1 is a flag).
+_Verdict = tuple[str | None, str]
+
+
+def _rules(
+    label_prefixes: Sequence[str], flag_prefixes: Sequence[str], extra_patterns: Iterable[str]
+) -> list[tuple[str, bool | None, _Verdict]]:
+    """Rows of (pattern, needs a number, verdict), the first that applies decides."""
+
+    def starts(prefixes: Sequence[str]) -> str:
+        return f"^(?:{'|'.join(map(re.escape, prefixes))})" if prefixes else r"(?!)"
+
+    return [
+        (starts(label_prefixes), None, (NON_FEATURE, "label")),
+        *[(pattern, None, (NON_FEATURE, reason)) for pattern, reason in NAME_PATTERNS],
+        *[(pattern, None, (NON_FEATURE, "custom rule")) for pattern in extra_patterns],
+        (starts(flag_prefixes), True, (None, "flag")),
+        (starts(flag_prefixes), False, (AMBIGUOUS, "flag prefix, values unchecked")),
+        (ANONYMOUS, None, (AMBIGUOUS, "anonymous code")),
+        ("", None, (FEATURE, "default")),
+    ]
 
 
 def classify_columns(
@@ -57,8 +60,9 @@ def classify_columns(
     fields = [f for f in df.schema.fields if f.name not in set(excluded)]
     if not fields:
         raise ValueError("no columns left to classify")
+    rules = _rules(label_prefixes, flag_prefixes, extra_patterns)
     classes = [
-        _name_class(f.name, is_numeric(f.dataType), label_prefixes, flag_prefixes, extra_patterns)
+        next(v for p, number, v in rules if number in (None, is_numeric(f.dataType)) and re.search(p, f.name))
         for f in fields
     ]
     measures = [F.avg(F.col(f.name).isNull().cast("double")).alias(f"n{i}") for i, f in enumerate(fields)]
@@ -97,17 +101,20 @@ def class_counts(profile: DataFrame) -> DataFrame:
 
 
 def column_groups(profile: DataFrame, names: Sequence[str], min_group: int = 2) -> DataFrame:
-    """Fold columns that share a first alphabetic token into ``token_*`` groups."""
-    group_of = {}
-    for name in names:
-        token = re.match(r"^([a-zA-Z]+)_", name)
-        size = sum(n.startswith(token.group(1) + "_") for n in names) if token else 0
-        group_of[name] = f"{token.group(1)}_*" if token and size >= min_group else name
-    mapping = F.create_map(*[F.lit(x) for pair in group_of.items() for x in pair])
+    """Fold columns that share a first alphabetic token into ``token_*`` groups.
+
+    A token's size is counted over ``names``, once per token; names that the profile lacks count too.
+    """
+    token = F.regexp_extract(F.col("name"), "^([a-zA-Z]+)_", 1)
+    listed = profile.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    sizes = W.partitionBy("token")
+    tokens = listed.withColumn("token", token).withColumn("size", F.count(F.lit(1)).over(sizes))
+    folded = (F.col("token") != "") & (F.col("size") >= min_group)
+    groups = tokens.select("name", F.when(folded, F.concat("token", F.lit("_*"))).otherwise(F.col("name")).alias("group")).distinct()
     ratios = F.array_sort(F.collect_list("null_ratio"))
     size = F.count(F.lit(1))
     return (
-        profile.withColumn("group", F.element_at(mapping, F.col("feature")))
+        profile.join(groups, F.col("feature") == F.col("name"), "left")
         .groupBy("group")
         .agg(
             size.alias("n"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from riskspark.operators.bins import MAX_MONTHS, attach_edges, bin_index, quantile_edges, unpivot_features
+from riskspark.operators.bins import attach_edges, bin_index, quantile_edges, unpivot_features
 from riskspark.operators.ranks import exact_quantiles
 
 # Fixed value: smallest bin share used in a ratio.
@@ -49,8 +49,8 @@ def woe_table(
     long = _labelled(df, label, features, keys)
     group = [*keys, "feature"]
     edges = quantile_edges(long, group, n_bins=n_bins, digits=digits, method=method)
-    bound = len(features) * (MAX_MONTHS if keys else 1)
-    placed = attach_edges(long, edges, group, bound, n_bins).withColumn(
+    # Only features are bounded by the call; the number of key groups is the data's.
+    placed = attach_edges(long, edges, group, None if keys else len(features), n_bins).withColumn(
         "bin", bin_index("value", "edges", n_bins)
     )
     # Groups without edges keep one null bin, so that they show up with a null IV.

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -15,7 +15,7 @@ from riskspark.operators.project import align_features
 from riskspark.operators.quality import rank_metrics
 from riskspark.operators.select import stratified_split
 from riskspark.operators.validate import require_columns
-from riskspark.sources.staging import stage
+from riskspark.sources.staging import stage, staged
 
 # Starting point of every fit; a grid passed to ``tune_model`` overrides single entries.
 DEFAULT_PARAMS = {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20}
@@ -31,42 +31,54 @@ def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return aligned.withColumns({_flag(c): F.col(c).isNull().cast("double") for c in features})
 
 
-def train_model(
-    train: DataFrame, val: DataFrame, features: Sequence[str], label: str,
-    weight: str | None = None, params: dict | None = None, seed: int = 42,
-) -> PipelineModel:
-    """Boosted trees with median imputation, missing flags, row weights and a validation set.
-
-    Positives are weighted by negatives/positives of the training rows. Rows without a label are dropped.
-    """
+def _training_rows(
+    train: DataFrame, val: DataFrame, features: Sequence[str], label: str, weight: str | None
+) -> DataFrame:
+    """The few columns that every boosting round reads: ``__val``, ``__y``, ``__w`` and prepared features."""
     require_columns(train, [label, weight, *features])
     both = train.withColumn("__val", F.lit(False)).unionByName(
         val.withColumn("__val", F.lit(True)), allowMissingColumns=True
     ).where(F.col(label).isNotNull())
     y = (F.col(label) > 0).cast("double").alias("__y")
     base_weight = (F.coalesce(F.col(weight), F.lit(1.0)) if weight else F.lit(1.0)).alias("__w")
-    # Every boosting round reads the rows again: the few columns it needs are written once.
-    rows = stage(_prepare(both.select("__val", y, base_weight, *features), features))
-    sizes = rows.where(~F.col("__val")).agg(
-        F.count_if(F.col("__y") == 1).alias("p"), F.count_if(F.col("__y") == 0).alias("n")
-    ).first()
+    return _prepare(both.select("__val", y, base_weight, *features), features)
+
+
+def _assembled(rows: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list]:
+    """Balanced rows with their feature vector, and the fitted stages that made it.
+
+    Medians and class weights are taken from the training rows alone.
+    """
+    fit_rows = rows.where(~F.col("__val"))
+    sizes = fit_rows.agg(F.count_if(F.col("__y") == 1).alias("p"), F.count_if(F.col("__y") == 0).alias("n")).first()
     if not sizes["p"] or not sizes["n"]:
         raise ValueError("training rows need both classes")
     balance = F.when(F.col("__y") == 1, F.lit(sizes["n"] / sizes["p"])).otherwise(F.lit(1.0))
-    return _fit(rows.withColumn("__w", F.col("__w") * balance), features, params, seed)
+    filled = [f"{c}__filled" for c in features]
+    imputer = Imputer(inputCols=list(features), outputCols=filled, strategy="median").fit(fit_rows)
+    assembler = VectorAssembler(inputCols=[*filled, *[_flag(c) for c in features]], outputCol="__x")
+    vectors = assembler.transform(imputer.transform(rows.withColumn("__w", F.col("__w") * balance)))
+    return vectors.select("__val", "__y", "__w", "__x"), [imputer, assembler]
 
 
-def _fit(rows: DataFrame, features: Sequence[str], params: dict | None, seed: int) -> PipelineModel:
-    filled = [f"{c}__filled" for c in features]
-    stages = [
-        Imputer(inputCols=list(features), outputCols=filled, strategy="median"),
-        VectorAssembler(inputCols=[*filled, *[_flag(c) for c in features]], outputCol="__x"),
-        GBTClassifier(
-            featuresCol="__x", labelCol="__y", weightCol="__w", validationIndicatorCol="__val", seed=seed,
-            **{**DEFAULT_PARAMS, **(params or {})},
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+def _boost(vectors: DataFrame, params: dict | None, seed: int) -> GBTClassificationModel:
+    return GBTClassifier(
+        featuresCol="__x", labelCol="__y", weightCol="__w", validationIndicatorCol="__val", seed=seed,
+        **{**DEFAULT_PARAMS, **(params or {})},
+    ).fit(vectors)
+
+
+def train_model(
+    train: DataFrame, val: DataFrame, features: Sequence[str], label: str,
+    weight: str | None = None, params: dict | None = None, seed: int = 42,
+) -> PipelineModel:
+    """Boosted trees with median imputation, missing flags, row weights and a validation set.
+
+    Positives are weighted by negatives/positives of the training rows. Rows without a label are dropped.
+    """
+    with staged(_training_rows(train, val, features, label, weight)) as rows:
+        vectors, before = _assembled(rows, features)
+        return PipelineModel([*before, _boost(vectors, params, seed)])
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -111,19 +123,33 @@ def train_adversarial(
     return model, importance_table(model), row["auc"]
 
 
+def neighbourhood(start: dict | None = None) -> list[dict]:
+    """The grid around a starting point: one level less and more of depth, half and double the step."""
+    p = {**DEFAULT_PARAMS, **(start or {})}
+    depths = sorted({max(1, p["maxDepth"] - 1), p["maxDepth"], p["maxDepth"] + 1})
+    return [{**p, "maxDepth": d, "stepSize": s} for d in depths for s in (p["stepSize"] / 2, p["stepSize"], p["stepSize"] * 2)]
+
+
 def tune_model(
     train: DataFrame, val: DataFrame, features: Sequence[str], label: str, grid: Sequence[dict],
     weight: str | None = None, seed: int = 42,
 ) -> tuple[PipelineModel, dict, list[tuple[dict, float]]]:
-    """Fit every parameter set of a neighbourhood grid and keep the best by AUC on the fixed ``val`` rows."""
+    """Fit every parameter set of a neighbourhood grid and keep the best by AUC on the fixed ``val`` rows.
+
+    The rows are written once, as vectors; a trial is its boosting rounds and one pass over the validation rows.
+    """
     trials: list[tuple[dict, float]] = []
-    best: tuple[float, PipelineModel, dict] | None = None
-    for params in grid:
-        model = train_model(train, val, features, label, weight, params, seed)
-        auc = rank_metrics(score_rows(val, model), "score", label).first()["auc"]
-        trials.append((params, auc))
-        if auc is not None and (best is None or auc > best[0]):
-            best = (auc, model, params)
+    best: tuple[float, GBTClassificationModel, dict] | None = None
+    with staged(_training_rows(train, val, features, label, weight)) as rows:
+        made, before = _assembled(rows, features)
+        with staged(made) as vectors:
+            for params in grid:
+                model = _boost(vectors, params, seed)
+                judged = model.transform(vectors.where("__val")).select("__y", vector_to_array("probability")[1].alias("score"))
+                auc = rank_metrics(judged, "score", "__y").first()["auc"]
+                trials.append((params, auc))
+                if auc is not None and (best is None or auc > best[0]):
+                    best = (auc, model, params)
     if best is None:
         raise ValueError("no parameter set could be evaluated")
-    return best[1], best[2], trials
+    return PipelineModel([*before, best[1]]), best[2], trials

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskspark.functions.dates import date_column
-from riskspark.functions.values import check_sensitive, to_number
+from riskspark.functions.values import reject_personal_number, to_number
 from riskspark.operators.validate import require_columns
 from riskspark.spec import SplitSpec, iso_day
 
@@ -15,7 +15,7 @@ from riskspark.spec import SplitSpec, iso_day
 def population_filter(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
     """AND of column = value; conditions on columns the table does not have are ignored."""
     for name, value in conditions.items():
-        check_sensitive(str(value))
+        reject_personal_number(str(value))
         if name in df.columns:
             df = df.where(F.col(name) == F.lit(value))
     return df

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from riskspark.functions.values import null_if_nan
 from riskspark.operators.ranks import running_totals
 from riskspark.operators.stability import feature_psi
 
@@ -203,8 +204,8 @@ def score_label_pairs(
         F.struct(
             F.lit(name).alias("model"),
             F.lit(lab).alias("label"),
-            F.col(column).cast("double").alias("score"),
-            F.col(lab).cast("double").alias("y"),
+            null_if_nan(F.col(column).cast("double")).alias("score"),
+            null_if_nan(F.col(lab).cast("double")).alias("y"),
         )
         for name, column in models.items()
         for lab in labels

@@ -37,7 +37,7 @@ def range_count(df: DataFrame) -> int:
 def with_ranges(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], at_least: int = 16
 ) -> DataFrame:
-    """Number each row's range. ``order`` columns are fixed-width (numeric or date) and never null."""
+    """Number each row's range. ``order`` columns are orderable and never null."""
     ranges = max(range_count(rows), at_least)
     rows = rows.withColumn(_KEY, F.xxhash64(*keys) if keys else F.lit(0).cast("bigint"))
     axes = [_KEY, *order]

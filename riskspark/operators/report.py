@@ -254,13 +254,15 @@ def score_distribution(df: DataFrame, month: str, score: str) -> DataFrame:
 
 
 def score_psi(df: DataFrame, month: str, score: str, base_month: str) -> DataFrame:
-    """PSI of the score bins per month against the base month, 4 digits; null without scores."""
+    """PSI of the score bins per month against the base month, 4 digits; null without scores or base month."""
     d = _distribution(df, month, score)
     share = F.try_divide(F.col("n"), F.sum("n").over(W.partitionBy(month)))
     d = d.withColumn("a", share)
     base = F.max(F.when(F.col(month) == base_month, F.coalesce("a", F.lit(0.0)))).over(W.partitionBy("bin"))
     term = psi_term(F.col("a"), F.coalesce(F.col("b"), F.lit(0.0)))
-    return d.withColumn("b", base).groupBy(month).agg(F.round(F.sum(term), 4).alias("psi"))
+    return d.withColumn("b", base).groupBy(month).agg(
+        F.when(F.count("b") > 0, F.round(F.sum(term), 4)).alias("psi")
+    )
 
 
 def segment_bad_rate(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskspark.functions.values import to_number
 from riskspark.operators.ranks import ranked
 
 # Limits of the diagnosis and of the comparisons.
@@ -14,34 +15,28 @@ MEAN_TOLERANCE = (30.0, 0.03)
 NOISE = (0.005, 5000)
 
 
-def text_axes(text: Column, chunks: int = 8) -> list[Column]:
-    """Numbers that sort like the text's bytes (7 bytes each), for rank selection on text ids."""
-    raw = text.cast("string").cast("binary")
-    return [
-        F.conv(F.rpad(F.hex(F.substring(raw, 1 + 7 * i, 7)), 14, "0"), 16, 10).cast("bigint")
-        for i in range(chunks)
-    ]
-
-
 def leaderboard(runs: DataFrame, run: str = "run", metric: str = "oot_auc") -> DataFrame:
-    """1-based rank by falling metric, missing metrics last, ties by run."""
-    axes = [F.col(run)] if dict(runs.dtypes)[run] != "string" else text_axes(F.col(run))
-    order = {"__k": F.coalesce(-F.col(metric).cast("double"), F.lit(float("inf")))}
-    order |= {f"__t{i}": axis for i, axis in enumerate(axes)}
+    """1-based rank by falling metric, missing (null or NaN) metrics last, ties by the whole run id."""
+    order = {
+        "__k": F.coalesce(-to_number(F.col(metric)), F.lit(float("inf"))),
+        "__n": F.col(run).isNull().cast("int"),
+        "__t": F.coalesce(F.col(run), F.lit("" if dict(runs.dtypes)[run] == "string" else 0)),
+    }
     placed = ranked(runs.withColumns(order), [], list(order), "__before")
     return placed.withColumn("rank", F.col("__before") + 1).drop("__before", *order)
 
 
-def top_runs(runs: DataFrame, k: int, run: str = "run", metric: str = "oot_auc") -> DataFrame:
-    """The ``k`` best finished runs."""
-    return runs.where(F.col(metric).isNotNull()).orderBy(F.desc(metric), run).limit(k)
+def top_runs(runs: DataFrame, k: int, run: str = "run", metric: str = "oot_auc", done: Column | None = None) -> DataFrame:
+    """The ``k`` best finished runs: those with a metric, or those where ``done`` holds, missing metrics last."""
+    value = to_number(F.col(metric))
+    return runs.where(value.isNotNull() if done is None else done).orderBy(value.desc_nulls_last(), run).limit(k)
 
 
 def best_per_algo(runs: DataFrame, algo: str = "algo", run: str = "run", metric: str = "oot_auc") -> DataFrame:
     """Best finished run of each algorithm; an aggregation, so a dominant algorithm is reduced map-side."""
     rest = [c for c in runs.columns if c != algo]
     best = F.min_by(F.struct(*rest), F.struct((-F.col(metric)).alias("m"), F.col(run).alias("r")))
-    picked = runs.where(F.col(metric).isNotNull()).groupBy(algo).agg(best.alias("b"))
+    picked = runs.where(to_number(F.col(metric)).isNotNull()).groupBy(algo).agg(best.alias("b"))
     return picked.select(algo, *[F.col(f"b.{c}").alias(c) for c in rest])
 
 

@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.functions.scores import SANE_POINTS, calibrated_probability, log_odds, scorecard_points
+from riskspark.functions.values import to_number
 from riskspark.operators.ranks import exact_quantiles
 from riskspark.operators.validate import require_columns
 
@@ -20,7 +21,7 @@ STEEP_SLOPE = 8.0
 def fit_calibration(df: DataFrame, proba: str, label: str) -> tuple[float, float]:
     """Slope and intercept of a logistic regression of the 0/1 label on the log-odds."""
     require_columns(df, [proba, label])
-    rows = df.where(F.col(label).isin(0, 1) & F.col(proba).isNotNull()).select(
+    rows = df.where(F.col(label).isin(0, 1) & to_number(F.col(proba)).isNotNull()).select(
         log_odds(F.col(proba)).alias("odds"), F.col(label).cast("double").alias("y")
     )
     vectors = VectorAssembler(inputCols=["odds"], outputCol="x").transform(rows)

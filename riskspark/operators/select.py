@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskspark.functions.dates import date_column
-from riskspark.functions.values import check_sensitive, to_number
+from riskspark.functions.values import holds_personal_number, null_if_nan, to_number
 from riskspark.operators.bins import unpivot_features
 from riskspark.operators.iv import feature_iv
 from riskspark.operators.ranks import rank_threshold
@@ -68,22 +68,30 @@ def drop_share(separability: float, base: float = 0.05) -> float:
 
 
 def _beyond(columns: Sequence[str], threshold: Column) -> Column:
-    """Row tuple > threshold tuple, true when there is no threshold."""
+    """Row tuple > threshold tuple; true when there is no threshold or the row has no value."""
     later = F.lit(False)
     for c in reversed(list(columns)):
         later = (F.col(c) > threshold[c]) | ((F.col(c) == threshold[c]) & later)
-    return threshold.isNull() | later
+    return F.coalesce(threshold.isNull() | later, F.lit(True))
+
+
+def _with_cut(df: DataFrame, cut: DataFrame) -> DataFrame:
+    """Attach a one-row table as ``__cut``. The generator keeps the optimizer from repeating its subquery."""
+    return df.withColumn("__cut", F.explode(F.array(cut.scalar())))
 
 
 def adversarial_drop(df: DataFrame, proba: str, pct: float, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Drop the ``round(n·pct)`` rows with the lowest probability of being out-of-time.
 
-    ``tie_cols`` (numeric, never null) order equal probabilities.
+    Rows without a probability (null or NaN) count in n and stay. ``tie_cols`` (numeric, never null) order
+    equal probabilities.
     """
-    order = [proba, *tie_cols]
-    k = F.bround(F.col("n") * F.lit(float(pct))).cast("bigint")
-    cut = rank_threshold(df, [], order, k - 1).select("cut")
-    return df.withColumn("__cut", cut.scalar()).where(_beyond(order, F.col("__cut"))).drop("__cut")
+    order = ["__p", *tie_cols]
+    rows = df.withColumn("__p", to_number(F.col(proba)))
+    total = df.select(F.count(F.lit(1))).scalar()
+    last = F.least(F.bround(total * F.lit(float(pct))).cast("bigint"), F.col("n")) - 1
+    cut = rank_threshold(rows.where(F.col("__p").isNotNull()), [], order, last).select("cut")
+    return _with_cut(rows, cut).where(_beyond(order, F.col("__cut"))).drop("__cut", "__p")
 
 
 def importance_cut(importance: DataFrame, pct: float = 95.0) -> DataFrame:
@@ -114,7 +122,12 @@ def iv_psi_filter(
     missing_limit: float = MISSING_LIMIT, iv_floor: float = IV_FLOOR, psi_ceiling: float = PSI_CEILING,
     digits: int | None = None,
 ) -> DataFrame:
-    """Per feature: missing rate, IV, PSI(dev→oot) and whether it is kept. A null IV or PSI does not drop."""
+    """Per feature: missing rate, IV, PSI(dev→oot) and whether it is kept. A null IV or PSI does not drop.
+
+    A listed feature that either table lacks cannot be judged: it is kept, with nulls.
+    """
+    absent = [f for f in features if f not in dev.columns or f not in oot.columns]
+    features = [f for f in features if f not in absent]
     missing = unpivot_features(dev, [], features).groupBy("feature").agg(
         F.avg(F.col("value").isNull().cast("double")).alias("missing_rate")
     )
@@ -126,10 +139,12 @@ def iv_psi_filter(
         | F.coalesce(F.col("iv") < iv_floor, F.lit(False))
         | F.coalesce(F.col("psi") > psi_ceiling, F.lit(False))
     )
-    return table.select(
+    judged = table.select(
         "feature", F.round("missing_rate", 6).alias("missing_rate"), F.round("iv", 6).alias("iv"),
         F.round("psi", 6).alias("psi"), (~drop).alias("kept"),
     )
+    unjudged = [(f, None, None, None, True) for f in absent]
+    return judged.union(dev.sparkSession.createDataFrame(unjudged, judged.schema)) if absent else judged
 
 
 def safety_filter(
@@ -144,9 +159,7 @@ def safety_filter(
         elif f not in df.columns:
             fixed[f] = "missing_column"
         else:
-            try:
-                check_sensitive(f)
-            except ValueError:
+            if holds_personal_number(f):
                 fixed[f] = "sensitive_column"
     checked = [f for f in features if f not in fixed]
     y = to_number(F.col(label)) if label and label in df.columns else F.lit(None).cast("double")
@@ -186,18 +199,17 @@ def stratified_split(
     Rows are ordered by a seeded hash of ``key_cols``; rows with equal keys stay together. With a label
     value that occurs once the split is not stratified; that check is an aggregation run up front.
     """
-    rows = df.withColumns(
-        {"__s": F.coalesce(F.col(label).cast("bigint"), F.lit(-1)), "__h": hash_order(key_cols, seed)}
-    )
+    kind = dict(df.dtypes)[label]
+    value = null_if_nan(F.col(label)) if kind in ("double", "float") else F.col(label)
+    rows = df.withColumns({"__s": value, "__h": hash_order(key_cols, seed)})
     if rows.groupBy("__s").count().agg(F.min("count")).first()[0] == 1:
-        rows = rows.withColumn("__s", F.lit(-1).cast("bigint"))
+        rows = rows.withColumn("__s", F.lit(None).cast(kind))
     # Decimal, so that a share ending in .5 rounds up whatever its binary form.
     last = F.round(F.col("n") * F.lit(Decimal(str(train_ratio)))).cast("bigint") - 1
     cuts = rank_threshold(rows, ["__s"], ["__h"], last).select(
         F.col("__s").alias("__stratum"), F.col("cut.__h").alias("__cut")
     )
-    # One row per label value.
-    tagged = rows.join(F.broadcast(cuts), F.col("__s") == F.col("__stratum"), "left")
+    tagged = rows.join(cuts, F.col("__s").eqNullSafe(F.col("__stratum")), "left")
     part = F.when(F.col("__h") <= F.col("__cut"), "train").otherwise("val")
     return tagged.withColumn(name, part).drop("__s", "__h", "__stratum", "__cut")
 
@@ -212,4 +224,4 @@ def negative_downsample(
     negatives = rows.where(F.col(label) == 0)
     cut = rank_threshold(negatives, [], ["__h"], F.least(last, F.col("n") - 1)).select("cut.__h")
     keep = (F.col(label) == 1) | (F.col("__h") <= F.col("__cut"))
-    return rows.withColumn("__cut", cut.scalar()).where(keep).drop("__h", "__cut")
+    return _with_cut(rows, cut).where(keep).drop("__h", "__cut")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,25 @@ def stage(df: DataFrame) -> DataFrame:
     For tables that several jobs read again (training rows, above all): the lineage ends here, lost
     executors cost only a re-read, and later jobs still prune columns.
     """
-    spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/riskspark-{uuid.uuid4().hex}"
+    return _written(df, _new_path(df.sparkSession))
+
+
+def _new_path(spark: SparkSession) -> str:
+    return f"{staging_dir(spark).rstrip('/')}/riskspark-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``stage`` for a table that nothing lazy outlives: its files go when the block ends."""
+    spark = df.sparkSession
+    path = _new_path(spark)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -53,7 +53,7 @@ def test_clean_sample_gate_and_result(spark):
     spec = SampleSpec()
     with pytest.raises(ValueError):
         clean_sample(df, spec)
-    table, features = clean_sample(df, spec, auto_confirm=True)
+    table, features, report, counts = clean_sample(df, spec, auto_confirm=True)
     assert features == ["f0", "f1"]
     assert {r["fuid"]: (r["label"], r["f0"]) for r in table.collect()} == {"u1": (1, 2.0), "u2": (0, 3.0)}
     assert clean_sample(df, spec, confirm=lambda report: report.count() == 1)[0].count() == 2
@@ -105,8 +105,8 @@ def test_validation_and_sensitive_text(spark):
     assert [r["y"] for r in validate.label_violations(df, "y").collect()] == [2]
     assert tuple(validate.sensitive_scan(df).first()) == ("t", 3, 1, 1)
     with pytest.raises(ValueError):
-        values.check_sensitive("x = 13812345678")
-    values.check_sensitive("amount > 138")
+        values.reject_personal_number("x = 13812345678")
+    values.reject_personal_number("amount > 138")
 
 
 NAMES = {

@@ -110,13 +110,55 @@ def test_rowwise_operators_accept_a_stream(spark, data, tmp_path):
     assert spark.table("cards").count() == 800
 
 
+def test_outline_sees_every_row(spark):
+    """The last month comes in the last rows, after a candidate column without dates."""
+    df = spark.range(40_000).select(
+        F.lit("n/a").alias("ser_no"),
+        F.when(F.col("id") < 39_990, "2020-01-03").when(F.col("id") == 39_999, "junk").otherwise("2021-02-28").alias("order_date"),
+    )
+    assert samples.outline_sample(df).months == ("2020-01", "2021-02")
+    assert samples.outline_sample(df.select("ser_no")).date is None
+    assert samples.outline_sample(df.limit(0)).months == ()
+
+
+def test_medians_and_balance_come_from_training_rows(spark):
+    train = spark.createDataFrame([(1.0, 0.0), (3.0, 1.0), (None, 0.0)], "f double, y double")
+    val = spark.createDataFrame([(1000.0, 1.0)] * 9, "f double, y double")
+    rows = models._training_rows(train, val, ["f"], "y", None).cache()
+    vectors, (imputer, _) = models._assembled(rows, ["f"])
+    assert imputer.surrogateDF.first()["f"] < 10
+    assert {r["__w"] for r in vectors.where("__y = 1").collect()} == {2.0}
+
+
+def test_tuning_reads_its_tables_once(spark, data, tmp_path, monkeypatch):
+    from riskspark.sources import staging as st
+
+    monkeypatch.setattr(st, "staging_dir", lambda _: str(tmp_path))
+    train, val = data.where("f_p_date < 20260121"), data.where("f_p_date >= 20260121")
+    models.tune_model(train, val, ["f0", "f1"], "label", [FAST, {**FAST, "maxDepth": 1}, {**FAST, "maxDepth": 2}])
+    assert not [p for p in tmp_path.iterdir() if not p.name.startswith(".")]
+    grid = models.neighbourhood()
+    assert len(grid) == 9 and len({(g["maxDepth"], g["stepSize"]) for g in grid}) == 9
+
+
+def test_cell(spark, data):
+    from riskspark.plans.flows import run_cell
+
+    parts = [data.where(c) for c in ("f_p_date < 20260115", "f_p_date between 20260115 and 20260121", "f_p_date > 20260121")]
+    cell = run_cell(*parts, ["f0", "f1"], "label", "r1", params=FAST)
+    row = cell.row.first()
+    assert (row["run"], row["n_features"]) == ("r1", 2) and row["train_n"] + row["val_n"] + row["oot_n"] == 800
+    assert row["oot_auc"] > 0.9 and row["psi_oot"] is not None
+    assert {r["split"] for r in cell.evaluation.collect()} == {"train", "val", "oot", "all"}
+
+
 def test_sources(spark, tmp_path):
     csv = tmp_path / "s.csv"
     csv.write_text("fuid,fser_date,score_a,fpd7_x\nu1,2026-01-05,0.1,1\nu2,2026-02-05,0.2,0\n")
     df = samples.read_sample(spark, str(csv))
     assert samples.read_sample_columns(spark, str(csv)) == ["fuid", "fser_date", "score_a", "fpd7_x"]
-    info = samples.infer_columns_and_ranges(df)
-    assert (info["date_col"], info["months"], info["label_cols"], info["score_cols"]) == ("fser_date", ["2026-01", "2026-02"], ["fpd7_x"], ["score_a"])
+    o = samples.outline_sample(df)
+    assert (o.date, o.months, o.labels, o.scores) == ("fser_date", ("2026-01", "2026-02"), ("fpd7_x",), ("score_a",))
     target = str(tmp_path / "s.parquet")
     assert samples.convert_to_parquet(spark, str(csv), target).count() == 2
     assert samples.read_sample_columns(spark, target) == df.columns

@@ -20,8 +20,9 @@ def brute(scores, labels):
 
 
 def test_perfect_separation(spark):
-    r = quality.rank_metrics(frame(spark, [0.1, 0.2, 0.3, 0.9, 0.95, 0.99], [0, 0, 0, 1, 1, 1.0]), "s", "y").first()
-    assert (r["auc"], r["ks"], r["gini"]) == (1.0, 1.0, 1.0)
+    scores, labels = [i / 17 for i in range(17)], [float(i >= 11) for i in range(17)]
+    r = quality.rank_metrics(frame(spark, scores, labels), "s", "y").first()
+    assert (r["auc"], r["ks"], r["gini"]) == (*brute(scores, labels), 1.0) == (1.0, 1.0, 1.0)
 
 
 def test_missing_scores_are_ignored_and_one_class_is_null(spark):
@@ -53,8 +54,9 @@ def test_ties_and_overdue_days_against_brute_force(spark):
 
 
 def test_confusion(spark):
-    r = quality.confusion_metrics(frame(spark, [0.9, 0.8, 0.1, 0.2, 0.6], [1, 1, 0, 0, 1.0]), "s", "y").first()
-    assert (r["accuracy"], r["precision"], r["recall"], r["f1"]) == (1.0, 1.0, 1.0, 1.0)
+    # Two hits, one miss, one false alarm, three right refusals.
+    r = quality.confusion_metrics(frame(spark, [0.7, 0.55, 0.45, 0.65, 0.05, 0.15, 0.35], [1, 1, 1, 0, 0, 0, 0.0]), "s", "y").first()
+    assert np.allclose([r["accuracy"], r["precision"], r["recall"], r["f1"]], [5 / 7, 2 / 3, 2 / 3, 2 / 3])
     none = quality.confusion_metrics(frame(spark, [0.1], [0.0]), "s", "y").first()
     assert none["precision"] is None and none["recall"] is None and none["f1"] is None
 

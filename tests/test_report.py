@@ -100,3 +100,9 @@ def test_months_without_scores_stay(spark):
     dist = {(r["month"], r["bin"]): r["n"] for r in report.score_distribution(df, "month", "s").collect()}
     assert dist["b", None] == 0 and dist["a", None] == 2
     assert {r["month"]: r["psi"] for r in report.score_psi(df, "month", "s", "a").collect()} == {"a": 0.0, "b": None}
+
+
+def test_score_psi_without_base_month_is_null(spark):
+    df = spark.createDataFrame([(m, float(i) / 40) for m in ("2026-01", "2026-02") for i in range(40)], "month string, s double")
+    assert {r["psi"] for r in report.score_psi(df, "month", "s", "2025-12").collect()} == {None}
+    assert {r["month"]: r["psi"] for r in report.score_psi(df, "month", "s", "2026-01").collect()}["2026-01"] == 0.0

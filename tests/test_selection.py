@@ -25,21 +25,76 @@ def test_recent_months_and_weights(spark, dev):
 
 
 def test_adversarial_drop_and_tiers(spark):
-    df = spark.createDataFrame([(p, i) for i, p in enumerate([0.9, 0.8, 0.1, 0.2, 0.3, 0.05])], "p double, id int")
-    kept = select.adversarial_drop(df, "p", 0.5, ["id"])
-    assert sorted(r["p"] for r in kept.collect()) == [0.3, 0.8, 0.9]
-    assert select.adversarial_drop(df, "p", 0.0).count() == 6
-    assert [select.drop_share(a) for a in (0.55, 0.65, 0.75, 0.85)] == [0.0, 0.05, 0.08, 0.12]
+    probabilities = [0.42, 0.07, 0.61, 0.33, 0.07, 0.95, 0.18, 0.77]
+    df = spark.createDataFrame([(p, i) for i, p in enumerate(probabilities)], "p double, id int")
+    for pct in (0.0, 0.125, 0.25, 0.5, 1.0):
+        k = round(len(probabilities) * pct)
+        order = sorted(range(len(probabilities)), key=lambda i: (probabilities[i], i))
+        assert {r["id"] for r in select.adversarial_drop(df, "p", pct, ["id"]).collect()} == set(order[k:])
+    tiers = {0.5: 0.0, 0.6: 0.05, 0.69: 0.05, 0.7: 0.08, 0.8: 0.12, 0.99: 0.12}
+    assert {a: select.drop_share(a) for a in tiers} == tiers
+
+
+def test_adversarial_drop_keeps_rows_without_probability(spark):
+    rows = [(None if i % 10 == 0 else float("nan") if i % 10 == 1 else i / 100, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "p double, id int")
+    kept = {r["id"] for r in select.adversarial_drop(df, "p", 0.1, ["id"]).collect()}
+    lowest = [i for p, i in rows if p is not None and p == p][:10]
+    assert kept == set(range(100)) - set(lowest)
+    assert select.adversarial_drop(df.withColumn("p", F.lit(None).cast("double")), "p", 0.5, ["id"]).count() == 100
+
+
+def test_strata_are_label_values(spark):
+    rows = [(i, [-1.0, None, 0.25, 0.75][i % 4]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, y double")
+    got = select.stratified_split(df, "y", ["id"]).groupBy("y", "part").count().collect()
+    assert {(r["y"], r["part"], r["count"]) for r in got} == {(y, p, n) for y in (-1.0, None, 0.25, 0.75) for p, n in (("train", 70), ("val", 30))}
+    text = select.stratified_split(df.withColumn("y", F.col("y").cast("string")), "y", ["id"])
+    assert text.where("part = 'train'").count() == 280
 
 
 def test_importance_cut(spark):
-    imp = spark.createDataFrame([("a", 60.0), ("b", 30.0), ("c", 8.0), ("d", 2.0)], "feature string, total_gain double")
-    assert {r["feature"] for r in select.importance_cut(imp).collect()} == {"a", "b", "c"}
+    gains = {"w": 45.0, "x": 25.0, "y": 20.0, "z": 10.0}
+    imp = spark.createDataFrame(list(gains.items()), "feature string, total_gain double")
+    assert {r["feature"] for r in select.importance_cut(imp, 70.0).collect()} == {"w", "x", "y"}
+    assert {r["feature"] for r in select.importance_cut(imp, 69.0).collect()} == {"w", "x"}
     names = imp.select("feature")
-    assert {r["feature"] for r in select.adversarial_features(imp, names, 2).collect()} == {"c", "d"}
+    assert {r["feature"] for r in select.adversarial_features(imp, names, 3).collect()} == {"z"}
     assert select.importance_cut(imp.withColumn("total_gain", F.lit(0.0))).count() == 4
 
 
+def test_absent_features_are_kept(spark):
+    dev = spark.createDataFrame([(float(i), float(i % 2)) for i in range(100)], "a double, y double")
+    got = {r["feature"]: r for r in select.iv_psi_filter(dev, dev, ["a", "gone"], "y").collect()}
+    assert got["gone"]["kept"] and got["gone"]["iv"] is None and len(got) == 2
+
+
+def test_leaderboard_uses_whole_ids_and_treats_nan_as_missing(spark):
+    from riskspark.operators import runs
+
+    rows = [("x" * 60 + c, 0.7) for c in "cab"] + [("nan", float("nan")), ("null", None), ("best", 0.9)]
+    df = spark.createDataFrame(rows, "run string, oot_auc double")
+    board = {r["rank"]: r["run"] for r in runs.leaderboard(df).collect()}
+    assert [board[k][-4:] for k in range(1, 7)] == ["best", "xxxa", "xxxb", "xxxc", "nan", "null"]
+    assert [r["run"] for r in runs.top_runs(df, 1).collect()] == ["best"]
+    assert runs.top_runs(df, 10).count() == 4 and runs.top_runs(df, 10, done=F.lit(True)).count() == 6
+    assert runs.best_per_algo(df.withColumn("algo", F.lit("a"))).first()["run"] == "best"
+
+
+def test_nan_is_null_for_iv_and_no_forced_broadcast(spark):
+    from riskspark.operators import iv
+
+    y = [float(i % 3 == 0) for i in range(300)]
+    frames = [
+        spark.createDataFrame([(g if i % 7 == 0 else float(i % 50), y[i], i % 40) for i in range(300)], "f double, y double, user int")
+        for g in (None, float("nan"))
+    ]
+    a, b = (iv.feature_iv(d, "y", ["f"]).first()["iv"] for d in frames)
+    assert a == b
+    plan = iv.woe_table(frames[0], "y", ["f"], keys=["user"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+
+
 def test_iv_psi_filter(spark):
     rng = np.random.default_rng(42)
     n = 2000
