@@ -22,5 +22,5 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     from registry import (  # noqa: F401
-        q_cleaning, q_modelling, q_panel, q_profiling, q_quality, q_reporting, q_selection,
+        q_cleaning, q_modelling, q_panel, q_profiling, q_quality, q_reporting, q_selection, q_sources,
     )

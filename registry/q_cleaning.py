@@ -211,8 +211,7 @@ def _(spark, sf):
     flag = F.col("l_returnflag")
     t = table(spark, sf, "lineitem").withColumn("y", F.when(flag == "R", 1.0).when(flag == "A", 0.0))
     spec = SampleSpec("l_suppkey", "l_shipdate", ("y",), tuple(_RAW), order_cols=("l_orderkey", "l_linenumber"))
-    cleaned, _ = clean_sample(t, spec, [0.0], allow_list=[*_RAW, "gone"], auto_confirm=True)
-    return cleaned
+    return clean_sample(t, spec, [0.0], allow_list=[*_RAW, "gone"], auto_confirm=True).table
 
 
 # Column names chosen so that every rule fires.
@@ -282,3 +281,13 @@ def _(spark, sf):
 def _(spark, sf):
     profile = classify.classify_columns(_named(spark, sf), ["l_suppkey"])
     return classify.finalize_columns(profile, list(_NAMES), ["qty", "amt_7"], ["line_no", "if_text"])
+
+
+@query(
+    "final_features",
+    f"""SELECT feature AS feature_name FROM ({_PROFILE}) WHERE CASE WHEN feature IN ('qty', 'amt_7') THEN 'non_feature'
+      WHEN feature = 'line_no' THEN 'feature' ELSE category END <> 'non_feature'""",
+)
+def _(spark, sf):
+    profile = classify.classify_columns(_named(spark, sf), ["l_suppkey"])
+    return classify.final_features(classify.finalize_columns(profile, list(_NAMES), ["qty", "amt_7"], ["line_no", "if_text"]))

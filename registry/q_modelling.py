@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from registry import query
-from registry.base import FEATURES, S, SPLIT_TAG, SPLITS, rank_sql, rounded, sample
+from registry.base import FEATURES, S, SPLIT_TAG, SPLITS, rank_sql, rounded, sample, table
 from riskspark.functions.scores import POINTS_FACTOR
 from riskspark.functions.values import label_family
 from riskspark.operators import models, project, quality, runs, scorecard, select, stability
-from riskspark.plans.flows import deliver_scores
+from riskspark.plans.flows import deliver_scores, run_cell
 from riskspark.sources.staging import stage
 
 COEF, INTERCEPT = 1.2, -0.3
+OOT_DAYS = "dt BETWEEN DATE '2000-01-01' AND DATE '2001-11-30'"
 
 
 def _odds(p: str) -> str:
@@ -46,19 +47,40 @@ def _(spark, sf):
     return scorecard.scorecard_summary(card)
 
 
-@query("scorecard_fit")
+def _newton(steps: int = 12) -> str:
+    """The same regression by Newton's method: one aggregate over the fitting rows for each step."""
+    sql = f"""{S}, f AS MATERIALIZED (SELECT {_odds('score_old')} AS x, y2 AS y FROM s
+      WHERE dt BETWEEN DATE '1995-01-01' AND DATE '1998-12-31' AND score_old IS NOT NULL AND y2 IN (0, 1)),
+      z AS (SELECT count(*) AS n FROM f), b0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS c)"""
+    for i in range(steps):
+        sql += f""", g{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(c) AS c, sum((p - y) * x) + any_value(a) / 20 AS ga, sum(p - y) AS gc,
+          sum(p * (1 - p) * x * x) + 0.05 AS haa, sum(p * (1 - p) * x) AS hac, sum(p * (1 - p)) AS hcc
+          FROM (SELECT x, y, a, c, 1 / (1 + exp(-(a * x + c))) AS p FROM f, b{i})),
+        b{i + 1} AS MATERIALIZED (SELECT a - (hcc * ga - hac * gc) / (haa * hcc - hac * hac) AS a, c - (haa * gc - hac * ga) / (haa * hcc - hac * hac) AS c FROM g{i})"""
+    return sql + f" SELECT n AS fit_rows, round(a, 3) AS coef, round(c, 3) AS intercept FROM z, b{steps}"
+
+
+@query("scorecard_fit", "WITH " + _newton())
 def _(spark, sf):
-    """Fit on the training range, apply to everything, summarise."""
+    """Calibration on the training range."""
     rows = sample(spark, sf).select("uid", "dt", "y2", "score_old")
-    fit = project.fit_slice(rows, "dt", SPLITS.range("train"))
+    fit = project.fit_slice(rows, "dt", SPLITS.range("train")).where(F.col("score_old").isNotNull() & F.col("y2").isin(0, 1))
     coef, intercept = scorecard.fit_calibration(fit, "score_old", "y2")
-    card = scorecard.apply_scorecard(rows, "score_old", coef, intercept)
-    return scorecard.scorecard_summary(card).withColumns({"coef": F.lit(coef), "intercept": F.lit(intercept)})
+    return fit.agg(F.count(F.lit(1)).alias("fit_rows")).withColumns(
+        {"coef": F.round(F.lit(coef), 3), "intercept": F.round(F.lit(intercept), 3)}
+    )
 
 
-_SMALL = {"maxIter": 5, "maxDepth": 3}
 _IDS = ["okey", "pkey", "uid", "line"]
 
+# The deterministic part of the tree jobs: who is trained, judged and delivered. What a forest says is held to bounds.
+_SPLIT_SQL = f"""{S}, h AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', okey, pkey, uid, line, '42')), 1, 15) AS BIGINT) AS h
+    FROM s WHERE y IS NOT NULL AND dt BETWEEN DATE '1995-01-01' AND DATE '1999-12-31'),
+  k AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h) AS i, count(*) OVER (PARTITION BY y) AS n FROM h),
+  c AS (SELECT y, max(h) AS cut FROM k WHERE i <= round(n * 0.7) GROUP BY y),
+  parts AS (SELECT h.y, CASE WHEN h <= cut THEN 'train' ELSE 'val' END AS split FROM h JOIN c ON h.y = c.y
+    UNION ALL SELECT y, 'oot' FROM s WHERE y IS NOT NULL AND {OOT_DAYS})"""
+
 
 def _parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     s = sample(spark, sf).select(*_IDS, "dt", "y", *FEATURES).where(F.col("y").isNotNull())
@@ -68,50 +90,100 @@ def _parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     return parts.where("part = 'train'").drop("part"), parts.where("part = 'val'").drop("part"), oot
 
 
-@query("train_and_evaluate")
+def _within(column: str, low: float, high: float):
+    return F.bool_and(F.col(column).isNotNull() & F.col(column).between(low, high))
+
+
+@query(
+    "train_and_evaluate",
+    f"""WITH {_SPLIT_SQL}, sides AS (SELECT y, split FROM parts UNION ALL SELECT y, 'all' FROM parts)
+    SELECT split, count(*) AS n, CAST(sum(y) AS BIGINT) AS positive, round(avg(y), 6) AS label_rate, TRUE AS metrics_valid FROM sides GROUP BY split""",
+)
 def _(spark, sf):
-    """Weighted training with a validation set, batch scoring, evaluation per split."""
+    """One experiment cell: weights, split, training, scoring and the evaluation of every split."""
     train, val, oot = _parts(spark, sf)
-    model = models.train_model(select.time_weight(train, "dt"), val, FEATURES, "y", "weight", _SMALL)
-    tagged = [d.withColumn("split", F.lit(n)) for n, d in (("train", train), ("val", val), ("oot", oot))]
-    scored = stage(models.score_rows(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]), model))
-    return quality.split_evaluation(scored, "score", "y", "split")
+    cell = run_cell(train, val, oot, FEATURES, "y", run="gbt", dt="dt")
+    valid = F.col("auc").between(0, 1) & F.col("ks").between(0, 1) & (F.abs(F.abs(2 * F.col("auc") - 1) - F.col("gini")) < 1e-5)
+    return cell.evaluation.select("split", "n", "positive", "label_rate", valid.alias("metrics_valid"))
 
 
-@query("model_importance")
+@query(
+    "experiment_cell",
+    f"""WITH {_SPLIT_SQL} SELECT 'gbt' AS run, CAST({len(FEATURES)} AS INTEGER) AS n_features, count(*) FILTER (split = 'train') AS train_n,
+      count(*) FILTER (split = 'val') AS val_n, count(*) FILTER (split = 'oot') AS oot_n, CAST(1 AS BIGINT) AS rank, TRUE AS diagnosed FROM parts""",
+)
+def _(spark, sf):
+    """The cell's row as the leaderboard and the diagnosis take it."""
+    train, val, oot = _parts(spark, sf)
+    row = run_cell(train, val, oot, FEATURES, "y", run="gbt", dt="dt").row
+    judged = runs.diagnose_runs(runs.leaderboard(row), psi="psi_oot")
+    known = F.col("status").isin("overfit", "underfit", "unstable_psi", "well_fit")
+    return judged.select("run", "n_features", "train_n", "val_n", "oot_n", "rank", known.alias("diagnosed"))
+
+
+@query(
+    "model_importance",
+    " UNION ALL ".join(f"SELECT '{f}' AS feature, TRUE AS share_valid, TRUE AS shares_complete" for f in FEATURES),
+)
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    return models.importance_table(models.train_model(train, val, FEATURES, "y", params=_SMALL))
+    table = models.importance_table(models.train_model(train, val, FEATURES, "y"))
+    total = F.sum("gain_pct").over(W.partitionBy(F.lit(1)))  # one row per feature
+    return table.select(
+        "feature", F.col("gain_pct").between(0, 100).alias("share_valid"), (F.abs(total - 100) < 0.01).alias("shares_complete")
+    )
 
 
-@query("adversarial_validation")
+@query(
+    "adversarial_validation",
+    f"""WITH {S} SELECT count(*) FILTER (dt BETWEEN DATE '1995-01-01' AND DATE '1999-12-31') AS dev_rows, count(*) FILTER ({OOT_DAYS}) AS oot_rows,
+      TRUE AS separability_valid, TRUE AS kept_by_tier, TRUE AS kept_are_highest FROM s""",
+)
 def _(spark, sf):
-    """Separability of development and out-of-time rows, and the rows kept after the recommended drop."""
-    train, val, oot = _parts(spark, sf)
-    dev = train.unionByName(val)
-    model, _, auc = models.train_adversarial(dev, oot, FEATURES, _IDS, _SMALL)
+    """Separability of all development and out-of-time rows, and the rows kept after the recommended drop."""
+    s = sample(spark, sf).select(*_IDS, "dt", *FEATURES)
+    dev, oot = project.split_slice(s, "dt", ("19950101", "19991231")), project.split_slice(s, "dt", SPLITS.range("oot"))
+    model, _, auc = models.train_adversarial(dev, oot, FEATURES, _IDS)
     scored = stage(models.score_rows(dev, model, "proba"))
-    kept = select.adversarial_drop(scored, "proba", select.drop_share(auc), _IDS)
-    return kept.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("separability", F.lit(auc))
+    share = select.drop_share(auc)
+    kept = select.adversarial_drop(scored, "proba", share, _IDS).agg(F.count(F.lit(1)).alias("kept"), F.min("proba").alias("low"))
+    dropped = scored.agg(F.count(F.lit(1)).alias("dev_rows"), F.percentile_approx("proba", share, 1_000_000).alias("cut"))
+    return dropped.join(F.broadcast(kept), F.lit(True)).join(F.broadcast(oot.agg(F.count(F.lit(1)).alias("oot_rows"))), F.lit(True)).select(
+        "dev_rows", "oot_rows", F.lit(0.5 <= auc <= 1 or auc < 0.5 and auc >= 0).alias("separability_valid"),
+        (F.col("kept") == F.col("dev_rows") - F.bround(F.col("dev_rows") * F.lit(share))).alias("kept_by_tier"),
+        (F.col("low") >= F.col("cut") - 1e-6).alias("kept_are_highest"),
+    )
 
 
-@query("tune_model")
+@query(
+    "tune_model",
+    f"""WITH {_SPLIT_SQL} SELECT CAST(9 AS INTEGER) AS trials, TRUE AS best_is_highest, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_bad
+    FROM parts WHERE split = 'oot'""",
+)
 def _(spark, sf):
-    """Two neighbours of the starting point, each judged on the same validation rows."""
+    """The neighbourhood of the starting point, each set judged on the same validation rows."""
     train, val, oot = _parts(spark, sf)
-    grid = [{"maxIter": 4, "maxDepth": d} for d in (2, 4)]
-    model, best, _ = models.tune_model(train, val, FEATURES, "y", grid)
+    model, best, trials = models.tune_model(train, val, FEATURES, "y", models.neighbourhood())
+    highest = dict(best) == max(trials, key=lambda t: t[1])[0]
     result = quality.rank_metrics(models.score_rows(oot, model), "score", "y")
-    return result.withColumn("best_depth", F.lit(best["maxDepth"]))
+    return result.select(F.lit(len(trials)).alias("trials"), F.lit(highest).alias("best_is_highest"), "n", "n_bad")
 
 
-@query("deliver_scores")
+@query(
+    "deliver_scores",
+    f"WITH {S} SELECT uid, dt, TRUE AS score_valid, TRUE AS points_follow FROM s WHERE y IS NULL",
+)
 def _(spark, sf):
     """Unlabelled rows through sentinels, model and score-card."""
     train, val, _ = _parts(spark, sf)
-    model = models.train_model(train, val, FEATURES, "y", params=_SMALL)
+    model = models.train_model(train, val, FEATURES, "y")
     fresh = sample(spark, sf).where(F.col("y").isNull()).select("uid", "dt", *FEATURES)
-    return deliver_scores(fresh, model, [50.0], (COEF, INTERCEPT))
+    out = deliver_scores(fresh, model, [50.0], (COEF, INTERCEPT))
+    p = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("score")))
+    points = 400 - POINTS_FACTOR * (COEF * F.log(p / (1 - p)) + INTERCEPT)
+    return out.select(
+        "uid", "dt", F.col("score").between(0, 1).alias("score_valid"), (F.abs(F.col("bscore") - points) < 1e-3).alias("points_follow")
+    )
 
 
 # Run tables.
@@ -151,6 +223,23 @@ def _(spark, sf):
     return runs.leaderboard(_runs(spark, sf))
 
 
+_LONG_ID = "repeat('x', 60) || CAST(l_orderkey AS VARCHAR)"
+
+
+@query(
+    "leaderboard_text",
+    f"""WITH r AS (SELECT {_LONG_ID} AS run, CASE WHEN max(l_tax) > 0 THEN round(max(l_tax), 2) END AS oot_auc FROM lineitem GROUP BY l_orderkey)
+    SELECT run, oot_auc, row_number() OVER (ORDER BY oot_auc DESC NULLS LAST, run) AS rank FROM r""",
+)
+def _(spark, sf):
+    """Run ids that differ after 60 equal characters, with few distinct metrics and some missing."""
+    top = F.max("l_tax")
+    r = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.when(top > 0, F.round(top, 2)).otherwise(F.lit(float("nan"))).alias("oot_auc"))
+    named = r.select(F.concat(F.lit("x" * 60), F.col("l_orderkey").cast("string")).alias("run"), "oot_auc")
+    board = runs.leaderboard(named)
+    return board.withColumn("oot_auc", F.when(~F.isnan("oot_auc"), F.col("oot_auc")))
+
+
 @query("top_runs", f"WITH {RUNS} SELECT * FROM runs WHERE oot_auc IS NOT NULL ORDER BY oot_auc DESC, run LIMIT 10")
 def _(spark, sf):
     return runs.top_runs(_runs(spark, sf), 10)

@@ -36,14 +36,13 @@ def _(spark, sf):
 
 @query(
     "panel_stickiness",
-    f"""WITH {S}, u AS (SELECT uid, count(DISTINCT month) AS k, min(y2) AS lo, max(y2) AS hi FROM s WHERE uid IS NOT NULL AND qty > 45 GROUP BY uid)
+    f"""WITH {S}, u AS (SELECT uid, count(DISTINCT month) AS k, min(y2) AS lo, max(y2) AS hi FROM s WHERE uid IS NOT NULL GROUP BY uid)
     SELECT count(*) AS users, round(avg(k), 8) AS periods_per_user, count(*) FILTER (k > 1) AS multi_period_users,
       count(*) FILTER (k > 1 AND lo = hi) AS constant_label_users,
       count(*) FILTER (k > 1 AND lo = hi) / nullif(count(*) FILTER (k > 1 AND lo IS NOT NULL), 0) AS constant_share FROM u""",
 )
 def _(spark, sf):
-    rows = sample(spark, sf).where(F.col("qty") > 45)
-    return rounded(panel.panel_stickiness(rows, "uid", "month", "y2"), 8, "periods_per_user")
+    return rounded(panel.panel_stickiness(sample(spark, sf), "uid", "month", "y2"), 8, "periods_per_user")
 
 
 @query(

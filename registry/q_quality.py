@@ -110,12 +110,12 @@ def _(spark, sf):
 @query(
     "model_feature_iv",
     f"""WITH {S}, t AS (SELECT * FROM s WHERE dt BETWEEN DATE '1995-01-01' AND DATE '1998-12-31'),
-      l AS ({long_sql('t', ['y2'], ['qty', 'price', 'disc'])}), {iv_cte('feature', 'y2')}
+      l AS ({long_sql('t', ['y2'])}), {iv_cte('feature', 'y2')}
     SELECT feature, round(sum(iv_part), 6) AS iv FROM v GROUP BY feature""",
 )
 def _(spark, sf):
     train = project.split_slice(sample(spark, sf), "dt", SPLITS.range("train"))
-    return rounded(iv.feature_iv(train, "y2", FEATURES[:3], digits=6), 6, "iv")
+    return rounded(iv.feature_iv(train, "y2", FEATURES, digits=6), 6, "iv")
 
 
 KS_GRID = f"""p AS ({pairs_sql('s', ['month'])}),

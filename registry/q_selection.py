@@ -51,12 +51,12 @@ _DROP = ["score_old", *_KEYS]
 
 @query(
     "adversarial_drop",
-    f"""WITH {S}, d AS (SELECT *, row_number() OVER (ORDER BY {", ".join(_DROP)}) AS k, count(*) OVER () AS n FROM s
-      WHERE dt <= DATE '1999-12-31' AND score_old IS NOT NULL)
-    SELECT {", ".join(_DROP)} FROM d WHERE k > round_even(n * 0.08, 0)""",
+    f"""WITH {S}, d AS (SELECT *, row_number() OVER (ORDER BY score_old NULLS LAST, {", ".join(_KEYS)}) AS k, count(*) OVER () AS n FROM s
+      WHERE dt <= DATE '1999-12-31')
+    SELECT {", ".join(_DROP)} FROM d WHERE k > round_even(n * 0.08, 0) OR score_old IS NULL""",
 )
 def _(spark, sf):
-    dev = _dev(spark, sf).where(F.col("score_old").isNotNull()).select(*_DROP)
+    dev = _dev(spark, sf).select(*_DROP)
     return select.adversarial_drop(dev, "score_old", select.drop_share(0.75), _KEYS)
 
 
@@ -139,10 +139,10 @@ def _(spark, sf):
 
 @query(
     "stratified_split",
-    f"""WITH {S}, h AS (SELECT *, {_HASH} AS h, coalesce(y, -1) AS st FROM s WHERE dt <= DATE '1999-12-31'),
+    f"""WITH {S}, h AS (SELECT *, {_HASH} AS h, y AS st FROM s WHERE dt <= DATE '1999-12-31'),
       k AS (SELECT *, row_number() OVER (PARTITION BY st ORDER BY h) AS i, count(*) OVER (PARTITION BY st) AS n FROM h),
       c AS (SELECT st, max(h) AS cut FROM k WHERE i <= round(n * 0.7) GROUP BY st)
-    SELECT {_SEL}, CASE WHEN h <= cut THEN 'train' ELSE 'val' END AS part FROM h JOIN c USING (st)""",
+    SELECT {_SEL}, CASE WHEN h <= cut THEN 'train' ELSE 'val' END AS part FROM h JOIN c ON h.st IS NOT DISTINCT FROM c.st""",
 )
 def _(spark, sf):
     return select.stratified_split(_dev(spark, sf).select(*_ROW), "y", _KEYS)
