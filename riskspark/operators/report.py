@@ -12,6 +12,7 @@ from riskspark.operators.clean import dedup_first_nonnull
 from riskspark.operators.project import population_filter
 from riskspark.operators.quality import multi_label_metrics, score_label_pairs
 from riskspark.operators.stability import psi_term
+from riskspark.sources.staging import stage
 
 MIN_COUNT = 30
 HEAD_TAIL_SHARE = 0.01  # fixed value: score bins thinner than this in every month are merged
@@ -182,9 +183,13 @@ def _indexed(df: DataFrame, score: str, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def _cell_counts(df: DataFrame, month: str, score: str) -> DataFrame:
-    """``(month, left, n)``; scoreless rows keep their month with a null cell."""
-    return _indexed(df, score, [month]).groupBy(month, "left", "g").agg(F.count("s").alias("n"))
+def score_cells(df: DataFrame, month: str, score: str) -> DataFrame:
+    """``(month, left, g, n)``: rows per raw cell; scoreless rows keep their month with a null cell.
+
+    Bins, distribution, PSI and segments of one score all start from this table of months × cells, so it is
+    written once; pass it on as ``cells`` to spare its two passes over the rows.
+    """
+    return stage(_indexed(df, score, [month]).groupBy(month, "left", "g").agg(F.count("s").alias("n")))
 
 
 def _kept_cells(cells: DataFrame, month: str) -> Column:
@@ -208,13 +213,13 @@ def _trim(cell: Column, kept: Column) -> Column:
     return F.when(cell.isNotNull(), inside).cast("int")
 
 
-def _with_kept(table: DataFrame, df: DataFrame, month: str, score: str) -> DataFrame:
-    return table.withColumn("__k", _kept_cells(_cell_counts(df, month, score), month))
+def _with_kept(table: DataFrame, cells: DataFrame, month: str) -> DataFrame:
+    return table.withColumn("__k", _kept_cells(cells, month))
 
 
-def score_bins(df: DataFrame, month: str, score: str) -> DataFrame:
+def score_bins(df: DataFrame, month: str, score: str, cells: DataFrame | None = None) -> DataFrame:
     """The trimmed bins: number, bounds, and a text label."""
-    kept = _kept_cells(_cell_counts(df, month, score), month)
+    kept = _kept_cells(cells or score_cells(df, month, score), month)
     one = df.sparkSession.range(1).select(kept.alias("k"))
     k = F.col("k")
     rows = one.select("k", F.explode(F.sequence(F.lit(1), k["tail"] - k["head"] + 1)).alias("bin"))
@@ -239,23 +244,25 @@ def _month_bin_grid(counts: DataFrame, month: str) -> DataFrame:
     )
 
 
-def _distribution(df: DataFrame, month: str, score: str) -> DataFrame:
+def _distribution(counts: DataFrame, month: str) -> DataFrame:
     """Zero-filled ``(month, bin, n)`` on left-closed bins, the last one closed on both sides."""
-    cells = _with_kept(_cell_counts(df, month, score), df, month, score)
+    cells = _with_kept(counts, counts, month)
     counts = cells.groupBy(month, _trim(F.col("left"), F.col("__k")).alias("bin")).agg(F.sum("n").alias("n"))
     return _month_bin_grid(cells, month).join(counts, [month, "bin"], "left").na.fill(0, ["n"])
 
 
-def score_distribution(df: DataFrame, month: str, score: str) -> DataFrame:
+def score_distribution(df: DataFrame, month: str, score: str, cells: DataFrame | None = None) -> DataFrame:
     """Rows and share per month × score bin; ``bin`` null is the month's total."""
-    t = with_total(_distribution(df, month, score), "bin", [month], ["n"])
+    t = with_total(_distribution(cells or score_cells(df, month, score), month), "bin", [month], ["n"])
     total = F.max(F.when(F.col("bin").isNull(), F.col("n"))).over(W.partitionBy(month))
     return t.select(month, "bin", "n", F.coalesce(F.try_divide(F.col("n"), total), F.lit(0.0)).alias("share"))
 
 
-def score_psi(df: DataFrame, month: str, score: str, base_month: str) -> DataFrame:
+def score_psi(
+    df: DataFrame, month: str, score: str, base_month: str, cells: DataFrame | None = None
+) -> DataFrame:
     """PSI of the score bins per month against the base month, 4 digits; null without scores or base month."""
-    d = _distribution(df, month, score)
+    d = _distribution(cells or score_cells(df, month, score), month)
     share = F.try_divide(F.col("n"), F.sum("n").over(W.partitionBy(month)))
     d = d.withColumn("a", share)
     base = F.max(F.when(F.col(month) == base_month, F.coalesce("a", F.lit(0.0)))).over(W.partitionBy("bin"))
@@ -266,7 +273,8 @@ def score_psi(df: DataFrame, month: str, score: str, base_month: str) -> DataFra
 
 
 def segment_bad_rate(
-    df: DataFrame, month: str, score: str, labels: Sequence[str], min_cnt: int = MIN_COUNT
+    df: DataFrame, month: str, score: str, labels: Sequence[str], min_cnt: int = MIN_COUNT,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
     """Per label × month × score bin (right-closed): rows, bad rows, bad rate; ``bin`` null is the total."""
     idx = _indexed(df, score, [month, *labels]).where(F.col("s").isNotNull())
@@ -281,7 +289,7 @@ def segment_bad_rate(
     raw = long.groupBy("label", month, "right").agg(
         F.count("y").alias("n"), F.count_if(F.col("y") > 0).alias("bad")
     )
-    binned = _with_kept(raw, df, month, score)
+    binned = _with_kept(raw, cells or score_cells(df, month, score), month)
     counts = binned.groupBy("label", month, _trim(F.col("right"), F.col("__k")).alias("bin")).agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad")
     )
@@ -332,9 +340,10 @@ def report_checks(
         ks.select(*row("oot_ks", F.col("model"), F.col("label"), k, ~((k > 0) & (k < 1))))
     )
     for m, c in models.items():
-        bins = score_bins(df, month, c).agg(F.count(F.lit(1)).alias("v"))
+        cells = score_cells(df, month, c)
+        bins = score_bins(df, month, c, cells).agg(F.count(F.lit(1)).alias("v"))
         checks = checks.unionByName(bins.select(*row("score_bins", F.lit(m), none, F.col("v"), F.col("v") <= 1)))
-        psi = score_psi(df, month, c, base_month).agg(F.max("psi").alias("v"), F.count("psi").alias("n"))
+        psi = score_psi(df, month, c, base_month, cells).agg(F.max("psi").alias("v"), F.count("psi").alias("n"))
         flat = (F.col("n") >= 2) & (F.abs("v") < 1e-9)
         checks = checks.unionByName(psi.select(*row("max_month_psi", F.lit(m), none, F.col("v"), flat)))
     return checks

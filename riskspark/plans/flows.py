@@ -14,7 +14,7 @@ from riskspark.operators.models import model_features, score_rows, train_model
 from riskspark.operators.project import derive_features, match_features
 from riskspark.operators.quality import ks_delta, ks_grid, ks_oot, split_evaluation, split_score_psi
 from riskspark.operators.report import (
-    label_grid, lift_table, month_stats, report_checks, report_frame, score_distribution, score_psi,
+    label_grid, lift_table, month_stats, report_checks, report_frame, score_cells, score_distribution, score_psi,
     segment_bad_rate, swap_matrix,
 )
 from riskspark.operators.scorecard import apply_scorecard
@@ -134,6 +134,7 @@ def evaluation_report(df: DataFrame, config: ReportConfig) -> dict[str, DataFram
     names, primary = list(config.models), config.labels[0]
     new = config.models[names[0]]
     oot = frame.where(frame["month"].between(*config.oot_months))
+    cells = score_cells(frame, "month", new)
     grid = ks_grid(frame, "month", config.models, config.labels, config.min_cnt)
     tables = {
         "frame": frame,
@@ -142,9 +143,9 @@ def evaluation_report(df: DataFrame, config: ReportConfig) -> dict[str, DataFram
         "ks_grid": grid,
         "ks_oot": ks_oot(frame, "month", config.models, config.labels, config.oot_months),
         "lift": lift_table(oot, config.models, config.labels, config.lift_bins, config.min_cnt),
-        "score_distribution": score_distribution(frame, "month", new),
-        "score_psi": score_psi(frame, "month", new, config.base_month),
-        "segments": segment_bad_rate(frame, "month", new, config.labels, config.min_cnt),
+        "score_distribution": score_distribution(frame, "month", new, cells),
+        "score_psi": score_psi(frame, "month", new, config.base_month, cells),
+        "segments": segment_bad_rate(frame, "month", new, config.labels, config.min_cnt, cells),
         "checks": report_checks(frame, "month", config.models, config.labels, config.oot_months, config.base_month),
     }
     if len(names) > 1:
