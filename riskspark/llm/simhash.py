@@ -236,7 +236,8 @@ def groups(fps: DataFrame, bits: int = 2) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2) -> DataFrame:
     """(id, fp, component_id): the smallest id that links reach, itself included."""
     found = stage(groups(stage(fingerprints(docs, text_col, (id_col,))), bits))
-    least = found.groupBy("root").agg(F.min(id_col).alias("component_id"))
+    # Written first: a join of two shuffles splits the rows of a large group, an aggregate's own shuffle would not.
+    least = stage(found.groupBy("root").agg(F.min(id_col).alias("component_id")))
     return found.join(least.withColumnRenamed("root", "__root"), F.col("root") == F.col("__root")).select(
         id_col, "fp", "component_id"
     )
