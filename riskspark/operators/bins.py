@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.functions.values import null_if_nan
 from riskspark.operators.ranks import exact_quantiles, quoted
+from riskspark.sources.staging import stage
 
 # A broadcast edge table is at most this many numbers (16 MB); wider ones are joined by shuffle, where
 # adaptive execution splits skewed partitions.
@@ -71,10 +72,13 @@ def attach_edges(
 ) -> DataFrame:
     """Join edge arrays onto rows. ``groups`` is a proven bound on the number of edge rows, null without one.
 
-    Without a bound the measured size of the edge table decides at run time between broadcast and shuffle.
+    Without a bound the edge table is written and counted first.
     """
     fitted = edges.select(*[F.col(k).alias(f"__{k}") for k in keys], "edges")
-    if groups is not None and groups * (n_bins + 1) <= BROADCAST_NUMBERS:
+    if groups is None:
+        fitted = stage(fitted)
+        groups = fitted.count()
+    if groups * (n_bins + 1) <= BROADCAST_NUMBERS:
         fitted = F.broadcast(fitted)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     return rows.join(fitted, same, "left").drop(*[f"__{k}" for k in keys])

@@ -81,7 +81,7 @@ def test_leaderboard_uses_whole_ids_and_treats_nan_as_missing(spark):
     assert runs.best_per_algo(df.withColumn("algo", F.lit("a"))).first()["run"] == "best"
 
 
-def test_nan_is_null_for_iv_and_no_forced_broadcast(spark):
+def test_nan_is_null_for_iv_and_no_forced_broadcast(spark, monkeypatch):
     from riskspark.operators import iv
 
     y = [float(i % 3 == 0) for i in range(300)]
@@ -91,8 +91,13 @@ def test_nan_is_null_for_iv_and_no_forced_broadcast(spark):
     ]
     a, b = (iv.feature_iv(d, "y", ["f"]).first()["iv"] for d in frames)
     assert a == b
-    plan = iv.woe_table(frames[0], "y", ["f"], keys=["user"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plan
+    from riskspark.operators import bins
+
+    small = iv.woe_table(frames[0], "y", ["f"], keys=["user"], n_bins=2)
+    monkeypatch.setattr(bins, "BROADCAST_NUMBERS", 100)
+    large = iv.woe_table(frames[0], "y", ["f"], keys=["user"], n_bins=2)
+    hints = ["strategy=broadcast" in d._jdf.queryExecution().optimizedPlan().toString() for d in (small, large)]
+    assert hints == [True, False] and small.exceptAll(large).isEmpty()
 
 
 def test_iv_psi_filter(spark):
