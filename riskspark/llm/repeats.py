@@ -37,7 +37,7 @@ from riskspark.sources.staging import stage
 LENGTH, SYMBOL, SEED_LENGTH = 200, 50, 40
 PIECE = 1 << 19  # starts of a long text handled at a time
 PIECE_STARTS = 16
-CHUNK = 2 << 20
+CHUNK = 1 << 18  # bytes of contexts merged at a time; small arrays stay in the processor's caches
 SHARDS = 4
 WIDE, HUGE = 1024, 65536  # different contexts of an anchor beyond which it is cut finer, and finest
 _FACTOR = 0x9E3779B97F4A7C15
@@ -176,8 +176,8 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _stable(symbols: np.ndarray) -> np.ndarray:
-    """Stable order of non-negative symbols below 2^32, by two counting passes."""
-    order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
+    """Stable order of symbols (32 bits, unsigned), by one counting pass or two."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
     if len(symbols) and symbols.max() > 0xFFFF:
         order = order[np.argsort((symbols[order] >> 16).astype(np.uint16), kind="stable")]
     return order
@@ -187,8 +187,8 @@ class Shard:
     """Burrows-Wheeler transform of contexts over symbols: each context is one string per residue of its places."""
 
     def __init__(self, before: np.ndarray, leads_to: np.ndarray, places: np.ndarray, rounds: int):
-        order = np.arange(len(before))
-        for _ in range(rounds):  # sorts by the first ``rounds`` symbols, last symbol first
+        order = leads_to[_stable(before)]
+        for _ in range(rounds - 1):  # sorts by the first ``rounds`` symbols, last symbol first
             order = leads_to[order[_stable(before[order])]]
         self.transform = before[order]
         self.suffixes = places[order]
@@ -196,55 +196,68 @@ class Shard:
 
 def merge(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of all suffixes in merged order, their block of equal prefixes, and common prefixes with the one before."""
-    origin = np.repeat(np.arange(len(shards), dtype=np.int8), [len(s.transform) for s in shards])
-    block = np.zeros(len(origin), np.int64)
-    prefix = np.full(len(origin), rounds, np.int64)
+    origin = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.transform) for s in shards])
+    transforms = np.concatenate([s.transform for s in shards])
+    block = np.zeros(len(origin), np.int32)
+    prefix = np.full(len(origin), rounds, np.int8)
+    symbols = np.empty_like(transforms)
+    parted = np.ones(len(origin), bool)
     for done in range(rounds):
-        symbols = np.empty(len(origin), np.int64)
-        for k, shard in enumerate(shards):
-            symbols[origin == k] = shard.transform
+        symbols[np.argsort(origin, kind="stable")] = transforms  # each shard's transform, read in its own order
         order = _stable(symbols)
-        origin, symbols, block = origin[order], symbols[order], block[order]
-        parted = np.concatenate([[True], (symbols[1:] != symbols[:-1]) | (block[1:] != block[:-1])])
-        block = np.cumsum(parted) - 1
+        origin, block, sorted_ = origin[order], block[order], symbols[order]
+        parted[1:] = (sorted_[1:] != sorted_[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(parted, dtype=np.int32) - 1
         prefix = np.where(parted, done, rounds)
-    places = np.empty(len(origin), np.int64)
-    for k, shard in enumerate(shards):
-        places[origin == k] = shard.suffixes
+    places = np.empty(len(origin), np.int32)
+    places[np.argsort(origin, kind="stable")] = np.concatenate([s.suffixes for s in shards])
     return places, block, prefix
 
 
 def repeated_starts(contexts: list[bytes], weights: np.ndarray, length: int = LENGTH, symbol: int = SYMBOL, shards: int = SHARDS) -> list[np.ndarray]:
-    """For each context, which of its starts begin a string of weight two or more among all contexts."""
+    """For each context, which of its starts begin a string of weight two or more among all contexts.
+
+    Only symbols that occur in more than one place, or in a context of weight two or more, can lie in such a string;
+    all others share one number, and no start whose string holds that number is repeated.
+    """
     rounds = length // symbol
     sizes = np.array([len(c) for c in contexts])
     joined = np.frombuffer(b"".join(contexts), np.uint8)
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    hashes = gram_hashes(joined, symbol)
     # Places 0..size of a context; one more than its bytes, for the strings' ends.
-    starts = begins[:-1] + np.arange(len(sizes))
-    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    inside = np.arange(len(owner)) - starts[owner]
-    has = inside >= symbol
-    _, dense = np.unique(hashes[(begins[:-1][owner] + inside - symbol)[has]], return_inverse=True)
-    before = np.zeros(len(owner), np.int64)
-    before[has] = dense + 1
+    starts = (begins[:-1] + np.arange(len(sizes))).astype(np.int32)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    inside = np.arange(len(owner), dtype=np.int32) - starts[owner]
+    has = np.flatnonzero(inside >= symbol).astype(np.int32)
+    at = has - symbol - owner[has]  # place in the joined bytes of the symbol before
+    _, dense, times = np.unique(gram_hashes(joined, symbol)[at], return_inverse=True, return_counts=True)
+    heavy = np.zeros(len(times), bool)
+    heavy[dense[weights[owner[has]] > 1]] = True
+    kept = heavy | (times > 1)
+    number = np.where(kept, np.cumsum(kept) + 1, 1).astype(np.uint32)  # 0: no symbol before, 1: the lone ones
+    before = np.zeros(len(owner), np.uint32)
+    before[has] = number[dense]
     # A suffix leads to the one a symbol earlier; a string's first one to its end.
-    ends = sizes[owner] - (sizes[owner] - inside) % symbol
-    leads = np.where(has, np.arange(len(owner)) - symbol, starts[owner] + ends)
-    parts, which = [], np.arange(len(sizes)) % shards
+    leads = (starts + sizes)[owner] - (sizes[owner] - inside) % symbol
+    leads[has] = has - symbol
+    parts, which = [], (np.arange(len(sizes)) % shards).astype(np.int8)
+    local = np.empty(len(owner), np.int32)
     for k in range(shards):
-        mine = np.flatnonzero(which[owner] == k)
+        mine = np.flatnonzero(which[owner] == k).astype(np.int32)
         if len(mine):
-            local = np.empty(len(owner), np.int64)
-            local[mine] = np.arange(len(mine))
+            local[mine] = np.arange(len(mine), dtype=np.int32)
             parts.append(Shard(before[mine], local[leads[mine]], mine, rounds))
     places, block, _ = merge(parts, rounds)
     weight = np.bincount(block, weights[owner[places]])
-    start = inside[places] <= (sizes[owner[places]] - length)
     hit = np.zeros(len(owner), bool)
-    hit[places[start & (weight[block] >= 2)]] = True
-    return [hit[a : a + n - length + 1] for a, n in zip(starts, sizes)]
+    hit[places[weight[block] >= 2]] = True
+    start = np.flatnonzero(hit & (inside <= (sizes - length)[owner]))
+    lone = np.zeros(len(start), bool)
+    for k in range(1, rounds + 1):
+        lone |= before[start + k * symbol] == 1
+    hit[:] = False
+    hit[start[~lone]] = True
+    return [hit[a : a + n - length + 1] for a, n in zip(starts.tolist(), sizes.tolist())]
 
 
 _COVER = pa.schema([("text", pa.int64()), ("mark", pa.int32()), ("begin", pa.int64()), ("end", pa.int64())])
