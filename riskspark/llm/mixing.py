@@ -21,6 +21,7 @@ from riskspark.sources.staging import stage
 HASH_BITS = 60
 STEP_BITS = 12
 SALTS = 64
+BROADCAST_SOURCES = 4096  # up to so many sources, checked by a count, their lines are broadcast: under 20 MB
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -76,11 +77,13 @@ def add_targets(weighed: DataFrame, max_repeat: float = 3.0) -> DataFrame:
     return weighed.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def _salted(per_source: DataFrame, name: str) -> DataFrame:
-    return per_source.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _salted(per_source: DataFrame, name: str, sources: int) -> DataFrame:
+    """A source may hold most rows: its line is repeated for every salt, or broadcast where sources are few."""
+    salted = per_source.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return F.broadcast(salted) if sources <= BROADCAST_SOURCES else salted
 
 
-def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
+def thresholds(sized: DataFrame, targets: DataFrame, sources: int) -> DataFrame:
     """(source, below): documents with a hash of at most ``below`` are taken once more than the whole copies."""
     same = sized["source"].eqNullSafe(F.col("b_source")) & (sized["salt"] == F.col("b_salt"))
     open_ = targets.select(
@@ -91,8 +94,7 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     done = None
     for used in range(0, HASH_BITS, STEP_BITS):
         left = HASH_BITS - used - STEP_BITS
-        # A source may hold most rows: its one line is repeated for every salt.
-        inside = sized.join(_salted(open_, "b_salt"), same & (F.shiftright("h", HASH_BITS - used) == F.col("prefix")))
+        inside = sized.join(_salted(open_, "b_salt", sources), same & (F.shiftright("h", HASH_BITS - used) == F.col("prefix")))
         histogram = inside.groupBy("b_source", F.shiftright("h", left).alias("bucket")).agg(
             F.first("budget").alias("budget"), F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"),
         )
@@ -137,10 +139,11 @@ def mix(
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stage(add_targets(stage(weigh_sources(totals)), max_repeat))
+    sources = targets.count()
     limits = targets.join(
-        thresholds(sized, targets).withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")), "left"
+        thresholds(sized, targets, sources).withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")), "left"
     ).select(F.col("source").alias("l_source"), "source_size", "target", "below")
-    limits = _salted(limits, "l_salt")
+    limits = _salted(limits, "l_salt", sources)
     mine = F.col("__source").eqNullSafe(F.col("l_source")) & (F.pmod("__h", F.lit(SALTS)) == F.col("l_salt"))
     extra = (F.col("__h") <= F.coalesce(F.col("below"), F.lit(-1))).cast("int")
     whole = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("int")

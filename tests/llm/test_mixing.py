@@ -71,6 +71,11 @@ def test_awkward_rows_and_ties(spark):
     check(documents(spark, [(1, "a b c", None, "x", None)] * 5 + [(2, "d e", None, None, None)]))
 
 
+def test_many_sources_need_no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    check(documents(spark, [(i, "w " * (i % 9 + 1), None, f"s{i % 13}", None) for i in range(200)]))
+
+
 def test_reruns_agree_and_empty(spark):
     df = documents(spark, [(i, "w " * (i % 5), None, f"s{i % 4}", None) for i in range(100)])
     again = [sorted(map(tuple, mixing.mix(df.repartition(n)).select("doc_id", "taken").collect())) for n in (1, 5)]
