@@ -32,7 +32,7 @@ from riskspark.sources.staging import stage
 HIDDEN, CLASS_WORDS, MODEL_WORDS, ENDINGS = 24, 64, 2048, 256
 NUMBERED = 65536
 LANES, WINDOW = 256, 64
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_500_000
 ALPHA = 0.1
 END = 0
 _SPACE = 1 << 30
@@ -330,8 +330,13 @@ def _network_rows(shared, id_type: pa.DataType):
             for row, score in zip(rows, score_texts(net, reads, targets)):
                 row[4] = float(score) / math.log(10)
             for at in range(0, len(rows), 2048):
-                columns = zip(*rows[at : at + 2048])
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+                *columns, word, times = zip(*rows[at : at + 2048])
+                arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema)]
+                offsets = np.concatenate([[0], np.cumsum([len(w) for w in word])]).astype(np.int32)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(np.concatenate(word)), pa.array(np.concatenate(times).astype(np.int32))], names=["word", "n"]
+                )
+                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pairs)], schema=schema)
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -342,7 +347,7 @@ def _network_rows(shared, id_type: pa.DataType):
                 word, times = np.unique(hashes, return_counts=True)
                 rows.append([
                     doc_id, held, len(number), int((target == net.words).sum()), 0.0, seen.astype(np.int32).tobytes(), n.astype(np.int32).tobytes(),
-                    [{"word": w, "n": c} for w, c in zip(word.tolist(), times.tolist())],
+                    word, times,
                 ])
                 reads.append(read)
                 targets.append(target)
