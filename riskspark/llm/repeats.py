@@ -335,11 +335,12 @@ def covered(docs: DataFrame, text_col: str = "text", wide: int = WIDE, huge: int
         F.sum("n").alias("n"), F.count("*").alias("kinds")
     )
     repeated = stage(counts.where(F.col("n") > 1).select("anchor", F.when(F.col("kinds") > huge, 2).when(F.col("kinds") > wide, 1).otherwise(0).alias("cut")))
-    kept = rows.select("text", "anchor", "at").join(repeated, "anchor").select("text", "anchor", "at", "cut").distinct()
+    # Nothing above the join needs an anchor's rows together, so those of a frequent one can be split.
+    kept = rows.select("text", "anchor", "at").join(repeated, "anchor").select("text", "anchor", "at", "cut")
     item = F.struct("anchor", "at", (F.col("cut") == 1).alias("wide"))
     lists = stage(
         kept.groupBy("text").agg(
-            F.collect_list(F.when(F.col("cut") < 2, item)).alias("listed"), F.collect_list(F.when(F.col("cut") == 2, item)).alias("single")
+            F.collect_set(F.when(F.col("cut") < 2, item)).alias("listed"), F.collect_set(F.when(F.col("cut") == 2, item)).alias("single")
         )
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
