@@ -3,11 +3,14 @@
 A gated recurrent unit reads word after word; a class-factored softmax first predicts the class of the next word
 and then the word within the class. One class, the rest, stands for all words outside the model's vocabulary: its
 words share its probability by smoothed corpus counts, so that the whole is a distribution over all words and one
-slot for unseen ones. Training is truncated backpropagation in numpy on a bounded, reproducible sample of windows;
-scoring carries the state across windows over each whole text, many texts side by side.
+slot for unseen ones. Training is truncated backpropagation in numpy: a bounded sample of windows gives a start on
+the driver, then each task goes on from it over every token of its own training texts, and the networks are averaged
+by their tokens. The average thus depends, a little, on how the input is dealt out. Scoring carries the state across
+windows over each whole text, many texts side by side.
 
-Counts cover the whole corpus: the network pass also lists each text's words. Words that are frequent in the sample
-have numbers and are summed before the shuffle; all others go by a 64-bit hash to the task that counts them.
+Counts cover the whole corpus: one pass ranks all words of all training texts, and the network pass also lists each
+text's words. The most frequent words have numbers and are summed before the shuffle; all others go by a 64-bit hash
+to the task that counts them.
 
 Words are runs of non-whitespace after lower-casing A-Z; each text ends with an end token. Null and empty texts
 hold the end token only. Repeated rows count, and are scored, as often as they occur. Without training rows every
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,13 +30,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from riskspark.llm.base import id_mix, map_rows
+from riskspark.llm.base import as_batch, id_mix, map_rows
 from riskspark.sources.staging import stage
 
 HIDDEN, CLASS_WORDS, MODEL_WORDS, ENDINGS = 24, 64, 2048, 256
 NUMBERED = 65536
 LANES, WINDOW = 256, 64
 BLOCK_TOKENS = 2_500_000
+LEARN_TOKENS, LEARN_PIECE, LEARN_WINDOW, LEARN_RATE = 1_000_000, 4096, 32, 0.006
+TALLY_WORDS = 200_000
+PARAMETERS = ("inputs", "gates", "class_w", "class_b", "word_w", "word_b")
+SLICES = 32
 ALPHA = 0.1
 END = 0
 _SPACE = 1 << 30
@@ -98,6 +106,12 @@ def log_probability(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarr
     return out
 
 
+def _shares(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1)[:, None])
+    e /= e.sum(axis=1)[:, None]
+    return e
+
+
 def _step(net: Network, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     u = h @ net.gates
     zr = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
@@ -183,26 +197,26 @@ def gradients(net: Network, read: np.ndarray, target: np.ndarray, first: np.ndar
     flat, goal = states[live], target[live]
     count = max(1, len(goal))
     group = np.where(goal >= net.words, net.classes, goal // CLASS_WORDS)
-    z = flat @ net.class_w + net.class_b
-    p = np.exp(z - _lse(z)[:, None])
+    order = np.argsort(group.astype(np.uint16), kind="stable")
+    flat, goal, group = flat[order], goal[order], group[order]
+    edges = np.searchsorted(group, np.arange(net.classes + 1))
+    p = _shares(flat @ net.class_w + net.class_b)
     loss = -np.log(np.maximum(p[np.arange(len(p)), group], 1e-30)).sum()
     p[np.arange(len(p)), group] -= 1
     p /= count
     grads = {"class_w": flat.T @ p, "class_b": p.sum(axis=0), "word_w": np.zeros_like(net.word_w), "word_b": np.zeros_like(net.word_b)}
     dflat = p @ net.class_w.T
-    for c in range(net.classes):
-        rows = np.flatnonzero(group == c)
-        if len(rows):
-            z = flat[rows] @ net.word_w[c] + net.word_b[c]
-            q = np.exp(z - _lse(z)[:, None])
-            at = np.arange(len(rows)), goal[rows] - c * CLASS_WORDS
-            loss -= np.log(np.maximum(q[at], 1e-30)).sum()
-            q[at] -= 1
-            q /= count
-            grads["word_w"][c], grads["word_b"][c] = flat[rows].T @ q, q.sum(axis=0)
-            dflat[rows] += q @ net.word_w[c].T
+    for c in np.flatnonzero(np.diff(edges)):
+        rows = slice(edges[c], edges[c + 1])
+        q = _shares(flat[rows] @ net.word_w[c] + net.word_b[c])
+        at = np.arange(len(q)), goal[rows] - c * CLASS_WORDS
+        loss -= np.log(np.maximum(q[at], 1e-30)).sum()
+        q[at] -= 1
+        q /= count
+        grads["word_w"][c], grads["word_b"][c] = flat[rows].T @ q, q.sum(axis=0)
+        dflat[rows] += q @ net.word_w[c].T
     dstates = np.zeros_like(states)
-    dstates[live] = dflat
+    dstates[live] = dflat[np.argsort(order)]
     dh, dinputs = np.zeros_like(h), np.empty_like(inputs)
     dgates = np.zeros_like(net.gates)
     for t in range(len(read) - 1, -1, -1):
@@ -217,7 +231,10 @@ def gradients(net: Network, read: np.ndarray, target: np.ndarray, first: np.ndar
         dh = (dh * z + du @ net.gates.T) * ~first[t][:, None]
     grads["gates"] = dgates
     grads["inputs"] = np.zeros_like(net.inputs)
-    np.add.at(grads["inputs"], read.ravel(), dinputs.reshape(-1, 3 * HIDDEN))
+    order = np.argsort(read.ravel().astype(np.uint16), kind="stable")
+    token = read.ravel()[order]
+    starts = np.flatnonzero(np.diff(token, prepend=-1))
+    grads["inputs"][token[starts]] = np.add.reduceat(dinputs.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
     norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
     if norm > 1:
         grads = {k: g / norm for k, g in grads.items()}
@@ -271,43 +288,134 @@ def _words(data: bytes | None) -> list[bytes]:
     return (data or b"").lower().split()
 
 
-def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", sample_texts: int = 3000,
-        window_words: int = 300, epochs: int = 3, seed: int = 5) -> tuple[Vocabulary, Network, list[float]]:
-    """Vocabulary and network from about ``sample_texts`` rows where ``learn`` holds, one window of each."""
-    rows = docs.where(learn).select(F.col(text_col).cast("binary").alias("data"), id_mix(F.col(id_col), F.lit("language model")).alias("mix"))
-    n = rows.count()
-    share = int(_SPACE * min(1.0, sample_texts / max(1, n)))
-    sample = stage(rows.where(F.pmod("mix", F.lit(_SPACE)) < share).limit(2 * sample_texts))
+def _vocabulary(rows: DataFrame) -> Vocabulary:
+    """The most frequent words of all of ``rows``; of equally frequent ones the first by bytes."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                for w in _words(data):
-                    counts[w] = counts.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        counts: Counter[bytes] = Counter()
 
-    counted = sample.select("data").mapInArrow(tally, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(NUMBERED - 1).toArrow()  # a proven bound
+        def listed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for data in batch.column(0):
+                counts.update(_words(data.as_py()))
+                if len(counts) >= TALLY_WORDS:
+                    yield listed()
+                    counts.clear()
+        yield listed()
+
+    words = rows.select("data").mapInArrow(tally, "word binary, n long")
+    counted = stage(words.groupBy("word").agg(F.sum("n").alias("n")))
+    # The smallest count that can still get a number, so that only as many words, and ties, are sorted.
+    kinds = counted.groupBy("n").agg(F.count("*").alias("kinds")).orderBy(F.desc("n")).limit(NUMBERED).collect()
+    least, seen = 1, 0
+    for r in kinds:
+        seen += r["kinds"]
+        if seen >= NUMBERED - 1:
+            least = r["n"]
+            break
+    top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(NUMBERED - 1).toArrow()  # a proven bound
     ranked = sorted(zip(top["n"].to_pylist(), top["word"].to_pylist()), key=lambda x: (-x[0], x[1]))
     listed = [bytes(w) for _, w in ranked]
-    words = min(MODEL_WORDS, len(listed) + 1)
-    vocabulary = Vocabulary(
-        {w: i + 1 for i, w in enumerate(listed)}, words, np.array([0, *(_ending(w) for w in listed)], np.int32)
+    return Vocabulary(
+        {w: i + 1 for i, w in enumerate(listed)}, min(MODEL_WORDS, len(listed) + 1), np.array([0, *(_ending(w) for w in listed)], np.int32)
     )
 
+
+def learn_all(rows: DataFrame, vocabulary: Vocabulary, start: Network) -> tuple[Network, float, int]:
+    """``start`` taught every token of ``rows``: each task its own texts, then the mean by tokens; loss and tokens.
+
+    Long texts are learned in pieces of ``LEARN_PIECE`` tokens side by side, each of which reads the word before it.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, start))
+    schema = "slice int, tokens long, loss double, data binary"
+    target_schema = pa.schema([("slice", pa.int32()), ("tokens", pa.int64()), ("loss", pa.float64()), ("data", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, start = shared.value
+        net = Network(start.words, *(getattr(start, k).copy() for k in PARAMETERS))
+        adam, tokens, loss = _Adam(LEARN_RATE), 0, 0.0
+        reads: list[np.ndarray] = []
+        targets: list[np.ndarray] = []
+        waiting = 0
+
+        def flush() -> None:
+            nonlocal tokens, loss
+            laid = lay_out(reads, targets, LANES)
+            h = np.zeros((laid.read.shape[1], HIDDEN), np.float32)
+            for at in range(0, len(laid.read), LEARN_WINDOW):
+                cut = slice(at, at + LEARN_WINDOW)
+                adam.rate = LEARN_RATE * math.sqrt(laid.read.shape[1] / LANES / (1 + adam.steps / 500))  # few lanes, small steps
+                grads, mean, h = gradients(net, laid.read[cut], laid.target[cut], laid.first[cut], h)
+                adam.update(net, grads)
+                seen = int((laid.target[cut] >= 0).sum())
+                tokens, loss = tokens + seen, loss + float(mean) * seen
+
+        for batch in batches:
+            for data in batch.column(0):
+                _, read, target, _ = vocabulary.encode(_words(data.as_py()))
+                for at in range(0, len(target), LEARN_PIECE):
+                    reads.append(read[at : at + LEARN_PIECE])
+                    targets.append(target[at : at + LEARN_PIECE])
+                    waiting += len(targets[-1])
+                    if waiting >= LEARN_TOKENS:
+                        flush()
+                        reads, targets, waiting = [], [], 0
+        if reads:
+            flush()
+        if tokens:
+            flat = np.concatenate([getattr(net, k).ravel() for k in PARAMETERS]).astype(np.float64) * tokens
+            yield as_batch([(k, tokens, loss, part.tobytes()) for k, part in enumerate(np.array_split(flat, SLICES))], target_schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for k, tokens, loss, data in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(data)
+                if k in sums:
+                    sums[k] = [sums[k][0] + tokens, sums[k][1] + loss, sums[k][2] + part]
+                else:
+                    sums[k] = [tokens, loss, part]
+        yield as_batch([(k, tokens, loss, part.tobytes()) for k, (tokens, loss, part) in sums.items()], target_schema)
+
+    taught = rows.select("data").mapInArrow(run, schema)
+    got = sorted(tuple(r) for r in taught.repartition(SLICES, "slice").mapInArrow(add, schema).collect())  # SLICES rows
+    if not got:
+        return start, 0.0, 0
+    tokens, loss = got[0][1:3]
+    flat = np.concatenate([np.frombuffer(r[3]) for r in got]) / tokens
+    sizes = np.cumsum([getattr(start, k).size for k in PARAMETERS])[:-1]
+    parts = zip(PARAMETERS, np.split(flat, sizes))
+    return Network(start.words, *(part.reshape(getattr(start, k).shape).astype(np.float32) for k, part in parts)), loss / tokens, tokens
+
+
+def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", sample_texts: int = 3000,
+        window_words: int = 300, epochs: int = 3, seed: int = 5) -> tuple[Vocabulary, Network, list[float]]:
+    """Vocabulary and network from all rows where ``learn`` holds, and the mean loss of each pass of the start.
+
+    The network starts with ``epochs`` passes over one window of each of about ``sample_texts`` rows; the last pass
+    takes every token of every row.
+    """
+    rows = docs.where(learn).select(F.col(text_col).cast("binary").alias("data"), id_mix(F.col(id_col), F.lit("language model")).alias("mix"))
+    vocabulary = _vocabulary(rows)
+    n = rows.count()
+    share = int(_SPACE * min(1.0, sample_texts / max(1, n)))
+    sample = rows.where(F.pmod("mix", F.lit(_SPACE)) < share).limit(2 * sample_texts)
+
     def windows(data, mix) -> Iterator[tuple]:
         tokens = _words(data)
         start = mix % max(1, len(tokens) - window_words + 1)
         cut = tokens[start : start + window_words]
-        yield mix, start == 0 or not tokens, start + window_words >= len(tokens), b" ".join(cut)
+        yield mix, start + window_words >= len(tokens), b" ".join(cut)
 
-    got = map_rows(sample, "mix long, head boolean, tail boolean, words binary", windows).toArrow()
+    got = map_rows(sample, "mix long, tail boolean, words binary", windows).toArrow()
     texts = sorted(zip(got["mix"].to_pylist(), got["words"].to_pylist(), got["tail"].to_pylist()))
     pairs = [vocabulary.encode(bytes(w).split(), end)[1:3] for _, w, end in texts]
     pairs = [p for p in pairs if len(p[1])]
-    net = network(words, seed)
-    return vocabulary, net, train(net, [r for r, _ in pairs], [t for _, t in pairs], epochs)
+    net = network(vocabulary.words, seed)
+    losses = train(net, [r for r, _ in pairs], [t for _, t in pairs], epochs)
+    return vocabulary, learn_all(rows, vocabulary, net)[0], losses
 
 
 _LISTED = pa.schema(

@@ -96,3 +96,22 @@ def test_nothing_to_learn(spark):
     assert losses == [] and grulm.score(empty(spark), F.lit(False), vocabulary, net).count() == 0
     got = grulm.score(awkward(spark), F.lit(True), vocabulary, net).collect()
     assert {r["train_tokens"] for r in got} == {0} and {r["n_known"] for r in got} == {0}
+
+
+def test_every_token_is_learned_and_ranked(spark):
+    """Words and windows outside a sample of one text count: ranks, tokens, and the mean of the tasks' networks."""
+    df = documents(spark, [(i, "late early " * 400 + f"only{i % 3} " * 200, None, None, None) for i in range(40)])
+    vocabulary, net, losses = grulm.fit(df, F.lit(True), sample_texts=1, epochs=1)
+    counts = Counter(w for r in df.collect() for w in r["text"].encode().split())
+    assert sorted(vocabulary.numbers, key=vocabulary.numbers.get) == sorted(counts, key=lambda w: (-counts[w], w))
+    rows = df.select(F.col("text").cast("binary").alias("data")).repartition(3).cache()
+    start = grulm.network(vocabulary.words)
+    whole, loss, tokens = grulm.learn_all(rows, vocabulary, start)
+    assert tokens == 40 * 1001 and loss > 0
+    kept, part, share = 0, 0, F.spark_partition_id()
+    for k in range(3):
+        one = spark.createDataFrame(rows.where(share == k).collect(), rows.schema).coalesce(1)
+        alone, _, n = grulm.learn_all(one, vocabulary, start)
+        kept, part = kept + n, part + n * alone.class_w.astype(float)
+    assert kept == tokens and np.allclose(part / tokens, whole.class_w, atol=1e-5)
+    assert len(losses) == 1 and not np.allclose(net.class_w, start.class_w, atol=1e-3)
