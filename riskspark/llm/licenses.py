@@ -13,6 +13,7 @@ columns are ignored. Offsets are code points, end exclusive.
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -51,11 +52,57 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "GPL-2.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."
+    ),
+    "LGPL-2.1": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "BSD-notice": "Released under the BSD License.",
+    "ISC-notice": "Released under the ISC License.",
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "CC0-1.0-notice": "Licensed under CC0 1.0.",
+    "CC-BY-3.0-notice": "Licensed under CC BY 3.0.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-3.0-notice": "Licensed under CC BY-SA 3.0.",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
 }
+# Whole texts, warranty paragraphs and bodies included; a cut copy still gets the span of its part above.
+WHOLE = (
+    "MIT BSD-2-Clause BSD-3-Clause ISC Unlicense Apache-2.0 GPL-1 GPL-2 GPL-3 LGPL-2 LGPL-2.1 LGPL-3 MPL-1.1 MPL-2.0 CC0-1.0 "
+    "GFDL-1.2 GFDL-1.3 Artistic-1.0"
+).split()
+TEMPLATES |= {f"{name}-text": pkgutil.get_data("riskspark.llm", f"license_texts/{name}.txt").decode() for name in WHOLE}
 SPANS = "array<struct<license:string,start:int,end:int,coverage:double>>"
 _WORD = re.compile(r"[^\W_]+")
 
@@ -132,7 +179,7 @@ class Scanner:
         found, places = [], []
         for k, (name, template, counts) in enumerate(self.templates):
             need = self.coverage * len(template)
-            if sum(min(n, len(seen.get(w, ()))) for w, n in counts.items()) < need:
+            if len(words) < need or sum(min(n, len(seen.get(w, ()))) for w, n in counts.items()) < need:
                 continue
             places = places or [m.span() for m in _WORD.finditer(text)]
             for start in self._stretches(seen, template, need):

@@ -46,3 +46,14 @@ def test_awkward_rows(spark):
     assert [(s["license"], s["start"], s["end"]) for s in got[100]] == [("CC-BY-NC-4.0-notice", 2, 29)]
     assert not any(s for i, s in got.items() if i != 100)
     assert licenses.scan(empty(spark)).count() == 0
+
+
+def test_whole_texts_and_other_notices():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    for name in licenses.WHOLE:
+        text = licenses.TEMPLATES[f"{name}-text"]
+        (span,) = scanner.spans("before " + text + " after")
+        assert span[0] == f"{name}-text" and span[3] == 1.0
+    for name, text in licenses.TEMPLATES.items():
+        assert [s[0] for s in scanner.spans("x " + text + " y")] == [name]
+    assert [s[0] for s in scanner.spans("Distributed under the BSD license.")] == ["BSD-notice"]
