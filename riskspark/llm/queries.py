@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, grulm, langid, licenses, mixing, repeats, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, grulm, importance, langid, licenses, mixing, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,34 @@ def op10_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 10) == 0
     vocabulary, network, _ = grulm.fit(docs, ~held_out)
     return grulm.score(docs, held_out, vocabulary, network)
+
+
+IMPORTANCE_SQL = r"""
+WITH tab AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
+w AS (SELECT kind, id, row, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM (
+  SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS row, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL SELECT 'b', NULL, row_number() OVER (), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark)),
+f AS MATERIALIZED (SELECT kind, row, array_to_string(words[i : i + k - 1], ' ') AS feature, count(*) AS n
+  FROM (SELECT kind, row, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(words) >= k) GROUP BY ALL),
+crc AS MATERIALIZED (SELECT feature, xor(list_reduce(
+    list_transform(range(1, len(h) // 2 + 1), lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM f)), tab),
+m AS MATERIALIZED (SELECT kind, row, bucket, sum(n) AS n FROM f JOIN crc USING (feature) GROUP BY ALL),
+c AS (SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t FROM m GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM c),
+g AS (SELECT bucket, CAST(floor(1000.0::DOUBLE * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain FROM c, a),
+d AS (SELECT w.row, any_value(w.id) AS doc_id, any_value(len(w.words)) AS n_words, CAST(coalesce(sum(m.n), 0) AS BIGINT) AS n_features,
+    CAST(coalesce(sum(m.n * g.gain), 0) AS BIGINT) AS weight
+  FROM w LEFT JOIN m ON m.kind = 'd' AND m.row = w.row LEFT JOIN g USING (bucket) WHERE w.kind = 'd' GROUP BY w.row),
+o AS (SELECT *, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+    / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d),
+r AS (SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS eligible FROM o WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * eligible // 100 THEN place END AS rank FROM o LEFT JOIN r USING (row)"""
+
+
+@query("op13_importance", IMPORTANCE_SQL)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
