@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, grulm, importance, langid, licenses, mixing, repeats, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, grulm, importance, langid, licenses, mixing, phrases, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,32 @@ def op10_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grulm.score(docs, held_out, vocabulary, network)
 
 
+PHRASES_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM (
+  SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, words[i : i + k - 1] AS phrase, k, count(*)::HUGEINT AS f
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(words) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, f AS a, k, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score FROM c JOIN t USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[1 : cut] JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1 : c.k]),
+b AS (SELECT lang, phrase, a, n, unnest(min({'score': score, 'cut': cut, 'l': l, 'r': r})) FROM s GROUP BY ALL),
+parts AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, f, k, phrase, m, phrase[i : i + m - 1] AS part FROM (
+  SELECT *, unnest(range(1, k - m + 2)) AS i FROM f, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k)) GROUP BY ALL),
+o AS (SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, a, l, r, n, score FROM b LEFT JOIN parts ON parts.lang = b.lang AND part = b.phrase
+  WHERE parts.f IS NULL OR 100 * parts.f < 100 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o) WHERE rank <= 2000"""
+
+
+@query("op12_phrases", PHRASES_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 IMPORTANCE_SQL = r"""
 WITH tab AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
     CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
