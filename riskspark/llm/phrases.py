@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskspark.llm.wordhash import LOWER, byte_kinds, mix, words
 from riskspark.sources.staging import stage
 
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 BROADCAST_KEYS = 1 << 20  # frequent two-word keys up to this number (8 MB) are broadcast, more are joined by shuffle
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _IS_WORD = byte_kinds(b" \t" + _BREAKS)

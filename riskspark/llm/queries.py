@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import decontaminate, forest, grulm, importance, langid, licenses, mixing, phrases, repeats, secrets, simhash, toxicity
+from riskspark.llm import decontaminate, forest, grulm, importance, jaccard, langid, licenses, mixing, phrases, repeats, secrets, simhash, toxicity
 from riskspark.llm.base import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,29 @@ def op10_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grulm.score(docs, held_out, vocabulary, network)
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT row, hash(words[i : i + 2]) AS g FROM (
+  SELECT row, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM d WHERE len(words) > 0)),
+z AS MATERIALIZED (SELECT row, count(*) AS n FROM s GROUP BY row),
+f AS (SELECT g, count(*) AS df FROM s GROUP BY g),
+p AS MATERIALIZED (SELECT row, g FROM (SELECT s.row, s.g, n, row_number() OVER (PARTITION BY s.row ORDER BY df, s.g) AS place FROM s JOIN f USING (g) JOIN z USING (row))
+  WHERE place <= n - ceil(0.9 * n) + 1),
+c AS MATERIALIZED (SELECT DISTINCT x.row AS a, y.row AS b FROM p x JOIN p y ON x.g = y.g AND x.row < y.row),
+e AS MATERIALIZED (SELECT a, b FROM c JOIN s x ON x.row = a JOIN s y ON y.row = b AND y.g = x.g JOIN z za ON za.row = a JOIN z zb ON zb.row = b
+  GROUP BY a, b, za.n, zb.n HAVING 100 * count(*) >= 90 * (za.n + zb.n - count(*))),
+both AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT row, row AS at FROM d UNION SELECT r.row, v FROM r JOIN both ON r.at = u)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN r ON d.row = r.row JOIN d o ON o.row = r.at LEFT JOIN z ON z.row = d.row GROUP BY d.row, d.doc_id"""
+
+
+@query("op11_jaccard", JACCARD_SQL)
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 PHRASES_SQL = r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM (
   SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -169,7 +192,8 @@ f AS MATERIALIZED (SELECT lang, words[i : i + k - 1] AS phrase, k, count(*)::HUG
 c AS (SELECT lang, phrase, f AS a, k, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
 s AS (SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score FROM c JOIN t USING (lang)
   JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[1 : cut] JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1 : c.k]),
-b AS (SELECT lang, phrase, a, n, unnest(min({'score': score, 'cut': cut, 'l': l, 'r': r})) FROM s GROUP BY ALL),
+m AS (SELECT lang, phrase, a, n, min({'score': score, 'cut': cut, 'l': l, 'r': r}) AS best FROM s GROUP BY lang, phrase, a, n),
+b AS (SELECT lang, phrase, a, n, best.l AS l, best.r AS r, best.score AS score FROM m),
 parts AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, f, k, phrase, m, phrase[i : i + m - 1] AS part FROM (
   SELECT *, unnest(range(1, k - m + 2)) AS i FROM f, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k)) GROUP BY ALL),
 o AS (SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, a, l, r, n, score FROM b LEFT JOIN parts ON parts.lang = b.lang AND part = b.phrase
