@@ -16,8 +16,10 @@ intersected as sorted arrays.
 
 1. Each tile's sets are compared with its least one, the hub; hubs and members come from aggregates that combine before
    they shuffle, and equal comparisons of several tiles are made once.
-2. Tiles whose sets now lie in one component are done. In the others, sets outside the largest component are
-   compared with all sets of other components, in blocks of ``BLOCK_SETS``; equal tiles are taken once.
+2. Tiles whose sets now lie in one component are done. In the others, signatures of sets outside the largest component
+   are compared with those of all sets of other components, in blocks of ``BLOCK_SETS``; equal tiles are taken once.
+   The nearest set of each component and block is intersected first, which joins most of what links.
+3. The same once more, now for every pair of different components that the signatures leave.
 
 Each comparison group holds one set and at most about ``BLOCK_SETS`` others, read one after the other. Nothing is
 dropped: every linked pair is compared, or lies in a component by other links already. Sets are named by a 64-bit
@@ -121,8 +123,8 @@ def tiles(found: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """A bitmap of about half as many bits as the set has shingles, 64 to 2**16: a power of two."""
-    bits = min(1 << 16, max(64, 1 << int(len(found) // 2).bit_length()))
+    """A bitmap of at least four times as many bits as the set has shingles, 64 to 2**18: a power of two."""
+    bits = min(1 << 18, max(64, 1 << (4 * len(found) - 1).bit_length()))
     turned = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(turned.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -243,8 +245,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return rows.repartition("grp").sortWithinPartitions("grp", "role").mapInArrow(_compare(width, percent), "u long, v long")
 
 
-def _block_pairs(percent: int):
-    """Pairs of different components in one block pair that the signatures do not rule out."""
+def _block_pairs(percent: int, nearest: bool):
+    """Pairs of different components in one block pair that the signatures do not rule out.
+
+    ``nearest``: of each left set and component of the right block, only the pair that differs in the fewest bits.
+    """
     names = ["hub", "code"]
 
     def run(table: pa.Table) -> pa.Table:
@@ -263,20 +268,27 @@ def _block_pairs(percent: int):
 
         out: set[tuple[int, int]] = set()
         for i in left.tolist():
+            best: dict[int, tuple[int, int]] = {}
             for w in np.unique(widths[right]).tolist():
                 mine, to = right[widths[right] == w], min(w, len(bits[i]))
                 differ = np.bitwise_count(stack(w, to) ^ folded(bits[i], to)).sum(1, dtype=np.int64)
                 least = needed(n[mine], n[i], percent)
                 fits = (comp[mine] != comp[i]) & (np.minimum(n[mine], n[i]) >= least) & ((n[mine] + n[i] - differ) // 2 >= least)
-                out |= {(min(int(code[i]), c), max(int(code[i]), c)) for c in code[mine[fits]].tolist()}
+                near = zip(comp[mine[fits]].tolist(), differ[fits].tolist(), code[mine[fits]].tolist())
+                if nearest:
+                    for c, bits_off, other in near:
+                        best[c] = min(best.get(c, (bits_off, other)), (bits_off, other))
+                else:
+                    out |= {(min(int(code[i]), other), max(int(code[i]), other)) for _, _, other in near}
+            out |= {(min(int(code[i]), other), max(int(code[i]), other)) for _, other in best.values()}
         u, v = zip(*out) if out else ((), ())
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names)
 
     return run
 
 
-def _rest(members: DataFrame, signed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(hub, code): pairs still to compare in tiles that hold several components."""
+def _rest(members: DataFrame, signed: DataFrame, roots: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(hub, code): pairs still to compare in tiles that hold several components, or the nearest of them."""
     placed = members.join(roots, F.col("code") == F.col("node"), "left").select("tile", "code", F.coalesce("root", "code").alias("comp"))
     held = placed.groupBy("tile", "comp").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("code")).alias("mark")
@@ -303,8 +315,8 @@ def _rest(members: DataFrame, signed: DataFrame, roots: DataFrame, percent: int)
     ).where(F.col("j") > F.col("i"))
     both = as_left.unionByName(as_right).join(signed.select(F.col("code").alias("__code"), "n", "bits"), F.col("code") == F.col("__code"))
     return both.select("tile", "i", "j", "code", "comp", "side", "n", "bits").groupBy("tile", "i", "j").applyInArrow(
-        _block_pairs(percent), "hub long, code long"
-    )
+        _block_pairs(percent, nearest), "hub long, code long"
+    ).distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -328,10 +340,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     source = texts.select("code", "text")
     first = stage(_verified(source, _unruled(stars, signed, percent), width, percent))
     roots = stage(components(first))
-    rest = stage(_rest(members, signed, roots, percent).distinct())
     links = first
-    if not rest.isEmpty():
-        links = stage(first.unionByName(_verified(source, rest, width, percent)))
+    for nearest in (True, False):
+        rest = stage(_rest(members, signed, roots, percent, nearest))
+        if rest.isEmpty():
+            break
+        links = stage(links.unionByName(_verified(source, rest, width, percent)))
         roots = stage(components(links))
 
     found = every.join(roots, F.col("code") == F.col("node"), "left").select("id", "code", "n", F.coalesce("root", "code").alias("root"))

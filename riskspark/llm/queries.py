@@ -170,8 +170,8 @@ p AS MATERIALIZED (SELECT row, g FROM (SELECT s.row, s.g, n, row_number() OVER (
 c AS MATERIALIZED (SELECT DISTINCT x.row AS a, y.row AS b FROM p x JOIN p y ON x.g = y.g AND x.row < y.row),
 e AS MATERIALIZED (SELECT a, b FROM c JOIN s x ON x.row = a JOIN s y ON y.row = b AND y.g = x.g JOIN z za ON za.row = a JOIN z zb ON zb.row = b
   GROUP BY a, b, za.n, zb.n HAVING 100 * count(*) >= 90 * (za.n + zb.n - count(*))),
-both AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
-r AS (SELECT row, row AS at FROM d UNION SELECT r.row, v FROM r JOIN both ON r.at = u)
+pairs AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT row, row AS at FROM d UNION SELECT r.row, v FROM r JOIN pairs ON r.at = u)
 SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(o.doc_id) AS component_id
 FROM d JOIN r ON d.row = r.row JOIN d o ON o.row = r.at LEFT JOIN z ON z.row = d.row GROUP BY d.row, d.doc_id"""
 
