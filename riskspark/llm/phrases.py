@@ -9,7 +9,8 @@ Intervals are extended in both directions. To the left: the rows of an interval
 last-to-first map, to one stretch of rows, the interval of c followed by the phrase. To the right: the intervals of a
 phrase one word longer split that of the phrase. All intervals of one depth are extended in one array operation.
 
-1. Every shard reports its words, and a 64-bit key of each two-word interval with its count. Keys that do not reach
+1. Every shard reports its words, and then a 64-bit key of each two-word interval with its count, where both words are in
+   hash classes that hold a frequent word (a filter of ``FILTER_BITS`` bits: it only saves work). Keys that do not reach
    ``min_count`` over all shards cannot lie inside a frequent phrase (a phrase is at most as frequent as its parts).
 2. Every shard gets back the frequent keys among its own, and extends only intervals made of them, up to ``longest``
    words; it reports phrases by their words, so that a key shared by chance adds work but never a count.
@@ -37,13 +38,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskspark.llm.wordhash import LOWER, byte_kinds, mix, words
 from riskspark.sources.staging import stage
 
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
+FILTER_BITS = 1 << 20  # hash classes of frequent words, a table of a fixed size that every task holds
 BROADCAST_KEYS = 1 << 20  # frequent two-word keys up to this number (8 MB) are broadcast, more are joined by shuffle
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _IS_WORD = byte_kinds(b" \t" + _BREAKS)
 _IS_BREAK = ~byte_kinds(_BREAKS)
 
-SHARD_SCHEMA = "shard long, kinds array<string>, words array<string>, counts array<long>, symbols binary, bwt binary"
+SHARD_SCHEMA = "shard long, kinds array<string>, words array<string>, counts array<long>, codes array<long>, bwt binary"
 
 
 def _gather(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Array:
@@ -115,6 +117,7 @@ def _build(shard_words: int, longest: int):
         text[places] = numbers + 1
         order = context_order(text, longest)
         bwt = text[order - 1].astype(np.int32)
+        del symbols, new, numbers, places, text, order
         # Strings of the distinct words, block by block, then in the order of their numbers.
         edges = np.cumsum([0] + [len(h[3]) for h in held])
         by_place = np.argsort(first)
@@ -131,9 +134,9 @@ def _build(shard_words: int, longest: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()), pa.ListArray.from_arrays(one, kinds), pa.ListArray.from_arrays(one, strings),
-                pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())), pa.array([unique.tobytes()], pa.binary()), pa.array([bwt.tobytes()], pa.binary()),
+                pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())), pa.ListArray.from_arrays(one, pa.array(unique.view(np.int64))), pa.array([bwt.tobytes()], pa.binary()),
             ],
-            ["shard", "kinds", "words", "counts", "symbols", "bwt"],
+            ["shard", "kinds", "words", "counts", "codes", "bwt"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,18 +186,27 @@ def _pair_keys(index: Index, symbols: np.ndarray, rows: np.ndarray) -> np.ndarra
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right).view(np.int64)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for shard, symbols, bwt in zip(*(batch.column(i) for i in range(3))):
-            index = Index(np.frombuffer(bwt.as_buffer(), np.int32))
-            symbols = np.frombuffer(symbols.as_buffer(), np.uint64)
-            starts, sizes = index.intervals(index.extended(index.words))
-            keys = _pair_keys(index, symbols, starts)
-            for at in range(0, len(keys), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys[part]), shard.as_py())), pa.array(keys[part]), pa.array(sizes[part])], ["shard", "key", "n"]
-                )
+def _pairs(frequent_classes: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = np.unpackbits(np.frombuffer(frequent_classes, np.uint8)).astype(bool)
+        for batch in batches:
+            for shard, symbols, bwt in zip(*(batch.column(i) for i in range(3))):
+                index = Index(np.frombuffer(bwt.as_buffer(), np.int32))
+                symbols = symbols.values.to_numpy().view(np.uint64)
+                known = np.concatenate([[False], classes[_class(symbols)]])
+                starts, sizes = index.intervals(index.extended(np.where(known[index.first], index.words, -1), known[index.first]))
+                keys = _pair_keys(index, symbols, starts)
+                for at in range(0, len(keys), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(keys[part]), shard.as_py())), pa.array(keys[part]), pa.array(sizes[part])], ["shard", "key", "n"]
+                    )
+
+    return run
+
+
+def _class(symbols: np.ndarray) -> np.ndarray:
+    return (symbols & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
 def _extend(longest: int):
@@ -204,7 +216,7 @@ def _extend(longest: int):
         for batch in batches:
             for kinds, strings, symbols, bwt, keys in zip(*(batch.column(i) for i in range(5))):
                 index = Index(np.frombuffer(bwt.as_buffer(), np.int32))
-                symbols = np.frombuffer(symbols.as_buffer(), np.uint64)
+                symbols = symbols.values.to_numpy().view(np.uint64)
                 strings, kinds = strings.values, kinds.values
                 pairs = index.extended(index.words)
                 starts, _ = index.intervals(pairs)
@@ -231,24 +243,32 @@ def _extend(longest: int):
     return run
 
 
+def _classes(single: DataFrame, min_count: int) -> bytes:
+    """A bit for each hash class of symbols that holds a frequent word: at most ``FILTER_BITS`` numbers reach the driver."""
+    held = single.where(F.col("f") >= min_count).select(F.col("symbol").bitwiseAND(FILTER_BITS - 1).cast("int").alias("c")).distinct()
+    bits = np.zeros(FILTER_BITS, np.uint8)
+    bits[held.toArrow().column(0).to_numpy()] = 1
+    return np.packbits(bits).tobytes()
+
+
 def frequent(
     docs: DataFrame, kind: Column, text_col: str = "text", min_count: int = 100, longest: int = 5, shard_words: int = SHARD_WORDS
 ) -> tuple[DataFrame, DataFrame]:
     """(kind, n): words of each kind; and (kind, phrase, size, f): phrases of 1 to ``longest`` words that occur ``min_count`` times."""
     index = stage(shards(docs, kind, text_col, shard_words, longest))
-    single = index.select(F.explode(F.arrays_zip("kinds", "words", "counts")).alias("e")).groupBy(
+    single = index.select(F.explode(F.arrays_zip("kinds", "words", "counts", "codes")).alias("e")).groupBy(
         F.col("e.kinds").alias("kind"), F.col("e.words").alias("phrase")
-    ).agg(F.sum("e.counts").alias("f"))
+    ).agg(F.sum("e.counts").alias("f"), F.min("e.codes").alias("symbol"))
     single = stage(single)
     totals = single.groupBy("kind").agg(F.sum("f").alias("n"))
 
-    pairs = index.select("shard", "symbols", "bwt").mapInArrow(_pairs, "shard long, key long, n long")
+    pairs = index.select("shard", "codes", "bwt").mapInArrow(_pairs(_classes(single, min_count)), "shard long, key long, n long")
     keys = stage(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
     held = keys.count()
     mine = pairs.join(F.broadcast(keys) if held <= BROADCAST_KEYS else keys, "key", "left_semi")
     # Bounded by the shard's own words.
     asked = stage(mine.groupBy("shard").agg(F.collect_list("key").alias("keys")))
-    found = index.join(asked, "shard").select("kinds", "words", "symbols", "bwt", "keys").mapInArrow(
+    found = index.join(asked, "shard").select("kinds", "words", "codes", "bwt", "keys").mapInArrow(
         _extend(longest), "kind string, phrase string, size int, n long"
     )
     longer = found.groupBy("kind", "phrase", "size").agg(F.sum("n").alias("f"))
