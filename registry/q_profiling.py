@@ -8,7 +8,7 @@ from registry import query
 from registry.base import (
     FEATURES, S, SPLIT_TAG, SPLITS, bin_sql, edges_sql, long_sql, rounded, sample, table,
 )
-from riskspark.operators import bins, iv, profile, project, stability
+from riskspark.operators import bins, feature_cube, iv, profile, project, stability
 from riskspark.operators.bins import unpivot_features
 
 BASE_MONTH = "2000-01"
@@ -209,9 +209,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     s = sample(spark, sf)
-    psi = stability.monthly_psi(s, "month", FEATURES, BASE_MONTH, digits=6)
-    ivs = iv.monthly_iv(s, "y", FEATURES, "month", digits=6)
-    return rounded(psi.join(ivs, ["feature", "month"], "left"), 8, "psi", "iv")
+    return rounded(feature_cube.feature_stability(s, "y", "month", FEATURES, BASE_MONTH, digits=6), 8, "psi", "iv")
 
 
 @query(

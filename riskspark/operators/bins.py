@@ -8,18 +8,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.functions.values import null_if_nan
-from riskspark.operators.ranks import exact_quantiles, quoted
+from riskspark.operators.quantiles import BROADCAST_NUMBERS, exact_quantiles
+from riskspark.operators.ranks import quoted
 from riskspark.sources.staging import stage
 
-# A broadcast edge table is at most this many numbers (16 MB); wider ones are joined by shuffle, where
-# adaptive execution splits skewed partitions.
-BROADCAST_NUMBERS = 2_000_000
-
-
 def unpivot_features(df: DataFrame, keep: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Long rows ``(keep…, feature, value)``; one pass, features as doubles, NaN as null."""
-    typed = df.select(*keep, *[null_if_nan(F.col(c).cast("double")).alias(c) for c in features])
-    return typed.unpivot(list(keep), list(features), "feature", "value")
+    typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features])
+    long = typed.unpivot(list(keep), list(features), "feature", "value")
+    return long.select(*keep, "feature", null_if_nan(F.col("value")).alias("value"))
+
+
+def probabilities(n_bins: int) -> list[float]:
+    return [k * (1.0 / n_bins) for k in range(n_bins)] + [1.0]
+
+
+def edges_of(q: DataFrame, keys: Sequence[str], n_bins: int, digits: int | None, min_rows: int | None = None) -> DataFrame:
+    """``(keys…, n, edges)`` from a table of quantiles ``q`` at ``probabilities(n_bins)``, see ``quantile_edges``."""
+    low, high = F.get("q", F.lit(0)), F.get("q", F.lit(n_bins))
+
+    def inner(k: int) -> Column:
+        edge = F.get("q", F.lit(k))
+        return edge if digits is None else F.greatest(low, F.least(high, F.round(edge, digits)))
+
+    edges = F.array_distinct(F.array(low, *[inner(k) for k in range(1, n_bins)], high))
+    enough = F.col("n") >= F.lit(2 * n_bins if min_rows is None else min_rows)
+    return q.select(*keys, "n", F.when(enough & (low < high), edges).alias("edges"))
 
 
 def quantile_edges(
@@ -30,30 +44,21 @@ def quantile_edges(
     digits: int | None = None,
     method: str = "exact",
     min_rows: int | None = None,
+    groups: int | None = None,
 ) -> DataFrame:
     """``(keys…, n, edges)``: quantiles at k/n_bins without repeats.
 
     Edges are null with fewer than ``min_rows`` (default 2·n_bins) values or a single distinct value.
     ``digits`` rounds the inner edges. ``method="approx"`` reads the quantiles off a bounded sketch in
-    one pass, for tables too wide to select ranks exactly.
+    one pass, for tables too wide to select ranks exactly. ``groups`` is a proven bound on the number of key groups.
     """
-    step = 1.0 / n_bins
-    probabilities = [k * step for k in range(n_bins)] + [1.0]
     if method == "approx":
         q = long.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx(value, probabilities, 10000).alias("q")
+            F.count(F.lit(1)).alias("n"), F.percentile_approx(value, probabilities(n_bins), 10000).alias("q")
         )
     else:
-        q = exact_quantiles(long, keys, value, probabilities)
-    low, high = F.get("q", F.lit(0)), F.get("q", F.lit(n_bins))
-
-    def inner(k: int) -> Column:
-        edge = F.get("q", F.lit(k))
-        return edge if digits is None else F.greatest(low, F.least(high, F.round(edge, digits)))
-
-    edges = F.array_distinct(F.array(low, *[inner(k) for k in range(1, n_bins)], high))
-    enough = F.col("n") >= F.lit(2 * n_bins if min_rows is None else min_rows)
-    return q.select(*keys, "n", F.when(enough & (low < high), edges).alias("edges"))
+        q = exact_quantiles(long, keys, value, probabilities(n_bins), groups)
+    return edges_of(q, keys, n_bins, digits, min_rows)
 
 
 def bin_index(value: str, edges: str, n_bins: int) -> Column:
@@ -89,7 +94,7 @@ def bin_assign(
 ) -> DataFrame:
     """Long rows with the equal-frequency bin of every feature value."""
     long = unpivot_features(df, keep, features)
-    edges = quantile_edges(long, ["feature"], n_bins=n_bins, digits=digits)
+    edges = quantile_edges(long, ["feature"], n_bins=n_bins, digits=digits, groups=len(features))
     placed = attach_edges(long, edges, ["feature"], len(features), n_bins)
     return placed.select(
         *keep, "feature", "value", bin_index("value", "edges", n_bins).alias("bin")

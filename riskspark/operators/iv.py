@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskspark.operators.bins import attach_edges, bin_index, quantile_edges, unpivot_features
-from riskspark.operators.ranks import exact_quantiles
+from riskspark.operators.quantiles import exact_quantiles
 
 # Fixed value: smallest bin share used in a ratio.
 SHARE_FLOOR = 1e-4
@@ -19,10 +19,17 @@ def _labelled(df: DataFrame, label: str, features: Sequence[str], keys: Sequence
 
 
 def _evidence(binned: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per-bin counts, shares and evidence; shares are over the bins of the group."""
-    counts = binned.groupBy(*keys, "bin").agg(
-        F.count_if(F.col("__y") == 0).alias("n_good"), F.count_if(F.col("__y") == 1).alias("n_bad")
+    """Per-bin counts, shares and evidence of single rows."""
+    return evidence(
+        binned.groupBy(*keys, "bin").agg(
+            F.count_if(F.col("__y") == 0).alias("n_good"), F.count_if(F.col("__y") == 1).alias("n_bad")
+        ),
+        keys,
     )
+
+
+def evidence(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Shares and evidence of ``(keys…, bin, n_good, n_bad)``; shares are over the bins of the group."""
     group = W.partitionBy(*keys)
 
     def share(c: str) -> Column:
@@ -48,7 +55,7 @@ def woe_table(
     """``(keys…, feature, bin, n_good, n_bad, good_share, bad_share, woe, iv_part)``."""
     long = _labelled(df, label, features, keys)
     group = [*keys, "feature"]
-    edges = quantile_edges(long, group, n_bins=n_bins, digits=digits, method=method)
+    edges = quantile_edges(long, group, n_bins=n_bins, digits=digits, method=method, groups=None if keys else len(features))
     # Only features are bounded by the call; the number of key groups is the data's.
     placed = attach_edges(long, edges, group, None if keys else len(features), n_bins).withColumn(
         "bin", bin_index("value", "edges", n_bins)
@@ -57,9 +64,9 @@ def woe_table(
     return _evidence(placed, group)
 
 
-def _total(evidence: DataFrame, group: Sequence[str]) -> DataFrame:
+def total_iv(table: DataFrame, group: Sequence[str]) -> DataFrame:
     part = F.when(F.col("bin").isNotNull(), F.col("iv_part"))
-    return evidence.groupBy(*group).agg(F.sum(part).alias("iv"))
+    return table.groupBy(*group).agg(F.sum(part).alias("iv"))
 
 
 def feature_iv(
@@ -71,14 +78,14 @@ def feature_iv(
     method: str = "exact",
 ) -> DataFrame:
     """IV per feature; null with too few rows, one distinct value or one class."""
-    return _total(woe_table(df, label, features, (), n_bins, digits, method), ["feature"])
+    return total_iv(woe_table(df, label, features, (), n_bins, digits, method), ["feature"])
 
 
 def monthly_iv(
     df: DataFrame, label: str, features: Sequence[str], month: str, n_bins: int = 10, digits: int | None = None
 ) -> DataFrame:
     """IV per (feature, month), with edges of their own for every month."""
-    return _total(woe_table(df, label, features, [month], n_bins, digits), [month, "feature"])
+    return total_iv(woe_table(df, label, features, [month], n_bins, digits), [month, "feature"])
 
 
 def histogram_iv(
@@ -96,7 +103,7 @@ def histogram_iv(
     """
     long = _labelled(df, label, features, ())
     if bounds == "exact":
-        q = exact_quantiles(long, ["feature"], "value", list(tails)).select("feature", "q")
+        q = exact_quantiles(long, ["feature"], "value", list(tails), len(features)).select("feature", "q")
     else:
         q = long.groupBy("feature").agg(F.percentile_approx("value", list(tails), 10000).alias("q"))
     fitted = F.broadcast(  # one row per listed feature
@@ -108,4 +115,4 @@ def histogram_iv(
         "bin",
         F.when(F.col("hi") > F.col("lo"), F.greatest(F.lit(1), F.least(F.lit(n_bins), slot))),
     )
-    return _total(_evidence(placed, ["feature"]), ["feature"])
+    return total_iv(_evidence(placed, ["feature"]), ["feature"])

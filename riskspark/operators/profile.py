@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskspark.functions.dates import date_column
 from riskspark.operators.bins import unpivot_features
 from riskspark.operators.project import split_tag
-from riskspark.operators.ranks import exact_quantiles
+from riskspark.operators.quantiles import exact_quantiles
 from riskspark.spec import SplitSpec
 
 # Limits of the verdicts below.
@@ -52,7 +52,7 @@ def feature_distribution(
         sketch = F.percentile_approx("value", list(quantiles), 10000).alias("q")
         table = long.groupBy("feature").agg(*base, sketch)
     else:
-        q = exact_quantiles(long, ["feature"], "value", quantiles).select("feature", "q")
+        q = exact_quantiles(long, ["feature"], "value", quantiles, len(features)).select("feature", "q")
         table = long.groupBy("feature").agg(*base).join(F.broadcast(q), "feature", "left")
     return table.select(
         "feature", "coverage", "mean", "min", "max",
@@ -63,8 +63,8 @@ def feature_distribution(
 def monthly_feature_stats(df: DataFrame, month: str, features: Sequence[str]) -> DataFrame:
     """Per month × feature: coverage, mean, min, max, sample deviation, distinct values.
 
-    Rows are first collapsed to distinct values with moments, so a value that fills a third of a month is
-    one row in the second shuffle.
+    The distinct count makes Spark aggregate by (feature, month, value) first, with partial moments beside it: a value that
+    fills a third of a month is one row a task in that shuffle.
     """
     long = unpivot_features(df, [month], features)
     return long.groupBy("feature", month).agg(

@@ -160,21 +160,6 @@ def pick_ranks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranks
     )
 
 
-def exact_quantiles(
-    rows: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
-) -> DataFrame:
-    """Linearly interpolated quantiles of the non-null values: ``n`` and an array ``q`` per group."""
-    ps = "array(" + ", ".join(f"{float(p)!r}D" for p in probabilities) + ")"
-    at = "(p * CAST(n - 1 AS DOUBLE))"
-    ranks = F.expr(f"array_distinct(flatten(transform({ps}, p -> array(floor({at}), ceil({at})))))")
-    picked = pick_ranks(rows.where(F.col(value).isNotNull()), keys, [value], ranks)
-    lo, hi = (f"at[{side}({at})].{quoted(value)}" for side in ("floor", "ceil"))
-    t = f"({at} - floor({at}))"
-    # The two-sided form keeps the result exact at both ends.
-    lerp = f"CASE WHEN {t} < 0.5D THEN {lo} + ({hi} - {lo}) * {t} ELSE {hi} - ({hi} - {lo}) * (1D - {t}) END"
-    return picked.selectExpr(*[quoted(k) for k in keys], "n", f"transform({ps}, p -> {lerp}) AS q")
-
-
 def rank_threshold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], rank: Column) -> DataFrame:
     """The order values at one rank per group: ``(keys…, n, cut)``, null when the rank is outside."""
     picked = pick_ranks(rows, keys, order, F.array(rank.cast("bigint")))

@@ -63,7 +63,7 @@ def lift_table(
     """Equal-frequency score bins per model × label, low score first; ``bin`` null is the total row."""
     pairs = score_label_pairs(df, [], models, labels)
     keys = ["model", "label"]
-    edges = quantile_edges(pairs, keys, "score", n_bins, digits, min_rows=1)
+    edges = quantile_edges(pairs, keys, "score", n_bins, digits, min_rows=1, groups=len(models) * len(labels))
     placed = attach_edges(pairs, edges, keys, len(models) * len(labels), n_bins).withColumn(
         "bin", bin_index("score", "edges", n_bins)
     )
@@ -85,7 +85,7 @@ def _swap_cells(df: DataFrame, old: str, new: str, label: str, n_bins: int, digi
         F.col(old).cast("double").alias("old"), F.col(new).cast("double").alias("new"), F.col(label).alias("y")
     ).dropna()
     edges = quantile_edges(
-        unpivot_features(rows, [], ["old", "new"]), ["feature"], n_bins=n_bins, digits=digits, min_rows=1
+        unpivot_features(rows, [], ["old", "new"]), ["feature"], n_bins=n_bins, digits=digits, min_rows=1, groups=2
     )
     both = edges.agg(
         *[F.max(F.when(F.col("feature") == side, F.col("edges"))).alias(side) for side in ("old", "new")]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.functions.scores import SANE_POINTS, calibrated_probability, log_odds, scorecard_points
 from riskspark.functions.values import to_number
-from riskspark.operators.ranks import exact_quantiles
+from riskspark.operators.quantiles import exact_quantiles
 from riskspark.operators.validate import require_columns
 
 # Inverse regularisation strength and the slope beyond which probabilities look degenerate.

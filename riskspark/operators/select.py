@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskspark.functions.dates import date_column
 from riskspark.functions.values import holds_personal_number, null_if_nan, to_number
 from riskspark.operators.bins import unpivot_features
-from riskspark.operators.iv import feature_iv
+from riskspark.operators.feature_cube import missing_iv_psi
 from riskspark.operators.ranks import rank_threshold
-from riskspark.operators.stability import feature_psi
 
 # Filter limits and the drop share per separability of development and out-of-time rows.
 MISSING_LIMIT, IV_FLOOR, PSI_CEILING, LEAK_CORRELATION = 0.95, 0.015, 0.2, 0.99
@@ -128,12 +127,7 @@ def iv_psi_filter(
     """
     absent = [f for f in features if f not in dev.columns or f not in oot.columns]
     features = [f for f in features if f not in absent]
-    missing = unpivot_features(dev, [], features).groupBy("feature").agg(
-        F.avg(F.col("value").isNull().cast("double")).alias("missing_rate")
-    )
-    table = missing.join(feature_iv(dev, label, features, digits=digits), "feature", "left").join(
-        feature_psi(dev, oot, features, digits=digits), "feature", "left"
-    )
+    table = missing_iv_psi(dev, oot, features, label, digits=digits)
     drop = (
         (F.col("missing_rate") >= missing_limit)
         | F.coalesce(F.col("iv") < iv_floor, F.lit(False))

@@ -42,7 +42,7 @@ def _grouped_psi(
     zero_bin: str,
     base_is_zero: bool,
 ) -> DataFrame:
-    edges = quantile_edges(long.where(base), ["feature"], n_bins=n_bins, digits=digits)
+    edges = quantile_edges(long.where(base), ["feature"], n_bins=n_bins, digits=digits, groups=len(features))
     placed = attach_edges(long, edges, ["feature"], len(features), n_bins).withColumn(
         "bin", bin_index("value", "edges", n_bins)
     )
@@ -53,8 +53,15 @@ def _grouped_psi(
         F.max(F.size("edges") - F.lit(1)).alias("bins"),
         *[F.count_if(F.col("bin") == k).alias(f"c{k}") for k in range(1, n_bins + 1)],
     )
+    return psi_of_counts(counts, group, base, n_bins, zero_bin, base_is_zero)
+
+
+def psi_of_counts(
+    counts: DataFrame, group: str, is_base: Column, n_bins: int, zero_bin: str = "epsilon", base_is_zero: bool = False
+) -> DataFrame:
+    """``(feature, group, n, psi)`` from a row per (feature, group): ``n`` values, ``n_in`` of them inside the edges, the
+    number of ``bins`` and a counter ``c1`` … per bin."""
     over = W.partitionBy("feature")
-    is_base = base
     counts = counts.withColumns(
         {f"b{k}": F.max(F.when(is_base, F.try_divide(f"c{k}", "n_in"))).over(over) for k in range(1, n_bins + 1)}
         | {"base_n": F.max(F.when(is_base, F.col("n"))).over(over)}

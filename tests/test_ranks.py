@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators.ranks import exact_quantiles, rank_threshold, ranked, running_totals
+from riskspark.operators.quantiles import exact_quantiles
+from riskspark.operators.ranks import rank_threshold, ranked, running_totals
 
 
 @pytest.fixture(scope="module")
