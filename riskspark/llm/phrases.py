@@ -12,7 +12,7 @@ phrase one word longer split that of the phrase. All intervals of one depth are
 1. Every shard reports its words, and then a 64-bit key of each two-word interval with its count, where both words are in
    hash classes that hold a frequent word (a filter of ``FILTER_BITS`` bits: it only saves work). Keys that do not reach
    ``min_count`` over all shards cannot lie inside a frequent phrase (a phrase is at most as frequent as its parts).
-2. Every shard gets back the frequent keys among its own, and extends only intervals made of them, up to ``longest``
+2. Every shard gets the frequent keys (all of them up to ``BROADCAST_KEYS``, else those among its own), and extends only intervals made of them, up to ``longest``
    words; it reports phrases by their words, so that a key shared by chance adds work but never a count.
 3. Sums over shards give exact counts. Cuts, scores, one-word extensions on either side and ranks are joins and
    aggregates of frequent phrases.
@@ -40,7 +40,7 @@ from riskspark.sources.staging import stage
 
 SHARD_WORDS = 1 << 18
 FILTER_BITS = 1 << 20  # hash classes of frequent words, a table of a fixed size that every task holds
-BROADCAST_KEYS = 1 << 20  # frequent two-word keys up to this number (8 MB) are broadcast, more are joined by shuffle
+BROADCAST_KEYS = 1 << 20  # frequent two-word keys up to this number (8 MB) go to every task, more are joined by shuffle
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _IS_WORD = byte_kinds(b" \t" + _BREAKS)
 _IS_BREAK = ~byte_kinds(_BREAKS)
@@ -209,18 +209,21 @@ def _class(symbols: np.ndarray) -> np.ndarray:
     return (symbols & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def _extend(longest: int):
+def _extend(longest: int, known_keys: np.ndarray | None = None):
+    """Shards to phrases; the frequent keys come with each shard's row, or are ``known_keys`` for all."""
     names = ["kind", "phrase", "size", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for kinds, strings, symbols, bwt, keys in zip(*(batch.column(i) for i in range(5))):
+            for i in range(batch.num_rows):
+                kinds, strings, symbols, bwt = (batch.column(c)[i] for c in range(4))
+                keys = batch.column(4)[i].values.to_numpy() if known_keys is None else known_keys
                 index = Index(np.frombuffer(bwt.as_buffer(), np.int32))
                 symbols = symbols.values.to_numpy().view(np.uint64)
                 strings, kinds = strings.values, kinds.values
                 pairs = index.extended(index.words)
                 starts, _ = index.intervals(pairs)
-                keep = np.isin(_pair_keys(index, symbols, starts), keys.values.to_numpy())
+                keep = np.isin(_pair_keys(index, symbols, starts), keys)
                 known = np.zeros(int(pairs.max(initial=-1)) + 1, bool)
                 known[pairs[starts[keep]]] = True
                 labels = np.where((pairs >= 0) & known[pairs], pairs, -1) if len(known) else pairs
@@ -264,13 +267,13 @@ def frequent(
 
     pairs = index.select("shard", "codes", "bwt").mapInArrow(_pairs(_classes(single, min_count)), "shard long, key long, n long")
     keys = stage(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
-    held = keys.count()
-    mine = pairs.join(F.broadcast(keys) if held <= BROADCAST_KEYS else keys, "key", "left_semi")
-    # Bounded by the shard's own words.
-    asked = stage(mine.groupBy("shard").agg(F.collect_list("key").alias("keys")))
-    found = index.join(asked, "shard").select("kinds", "words", "codes", "bwt", "keys").mapInArrow(
-        _extend(longest), "kind string, phrase string, size int, n long"
-    )
+    columns, schema = ["kinds", "words", "codes", "bwt"], "kind string, phrase string, size int, n long"
+    if keys.count() <= BROADCAST_KEYS:
+        found = index.select(*columns).mapInArrow(_extend(longest, keys.toArrow().column(0).to_numpy()), schema)
+    else:
+        # Bounded by the shard's own words.
+        asked = stage(pairs.join(keys, "key", "left_semi").groupBy("shard").agg(F.collect_list("key").alias("keys")))
+        found = index.join(asked, "shard").select(*columns, "keys").mapInArrow(_extend(longest), schema)
     longer = found.groupBy("kind", "phrase", "size").agg(F.sum("n").alias("f"))
     both = single.select("kind", "phrase", F.lit(1).alias("size"), "f").unionByName(longer)
     return totals, stage(both.where(F.col("f") >= min_count))

@@ -62,8 +62,9 @@ def corpus(n: int, seed: int = 5) -> list[tuple]:
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-@pytest.mark.parametrize("shard_words, least", [(150, 3), (1 << 21, 12)])
-def test_rows_equal_the_plain_ones_however_sharded(spark, shard_words, least):
+@pytest.mark.parametrize("shard_words, least, shared_keys", [(150, 3, 1 << 20), (150, 3, 0), (1 << 21, 12, 0)])
+def test_rows_equal_the_plain_ones_however_sharded(spark, monkeypatch, shard_words, least, shared_keys):
+    monkeypatch.setattr(phrases, "BROADCAST_KEYS", shared_keys)
     rows = [(i, t, lang, "a", len(t)) for i, (lang, t) in enumerate(corpus(150))]
     df = clashing(documents(spark, rows).unionByName(awkward(spark, ["the of the of"] * 4)))
     got = phrases.collocations(df, min_count=least, shard_words=shard_words)
