@@ -164,6 +164,7 @@ def _build(shard_words: int, longest: int):
                 if size >= shard_words:
                     yield flush(number, held, list(names))
                     number, held, size = number + 1, [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield flush(number, held, list(names))
 

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20  # bytes worked on at a time; a longer text is cut between words
+ROWS = 1024  # rows of a column that are copied at a time
 _BASE = 0x9E3779B97F4A7C17 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -67,22 +68,22 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
-def blocks(texts: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, bytes, text offsets) of a binary column, at most about ``BLOCK`` bytes at a time.
 
-    Null texts are empty. A longer text comes in several blocks, cut where no word is; all but the last of them
-    are marked by a last offset short of the next text, see ``words``.
+    Null texts are empty. A longer text is a block of its own.
     """
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
-    _, places, buffer = texts.buffers()
-    offsets = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
-    at = 0
-    while at < len(texts):
-        stop = int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1
-        stop = min(max(stop, at + 1), len(texts))
-        yield at, data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
-        at = stop
+    for base in range(0, len(texts), ROWS):
+        part = texts.slice(base, ROWS).cast(pa.large_binary()).fill_null(b"")
+        _, places, buffer = part.buffers()
+        offsets = np.frombuffer(places, np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
+        at = 0
+        while at < len(part):
+            stop = int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1
+            stop = min(max(stop, at + 1), len(part))
+            yield base + at, data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
+            at = stop
 
 
 def _cuts(data: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -107,7 +108,7 @@ def words(
 
     ``owner`` is the text's place in the column; starts and ends are places in the block's bytes.
     """
-    for at, data, offsets in blocks(texts, is_word):
+    for at, data, offsets in blocks(texts):
         if len(data) <= 2 * BLOCK:
             starts, ends = bounds(is_word[data], offsets)
             hashes = hash_runs(data, starts, ends) if len(data) else np.empty(0, np.uint64)
