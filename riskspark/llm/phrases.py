@@ -29,11 +29,12 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from riskspark.llm.wordhash import LOWER, byte_kinds, mix, words
 from riskspark.sources.staging import stage
@@ -266,18 +267,31 @@ def frequent(
     single = stage(single)
     totals = single.groupBy("kind").agg(F.sum("f").alias("n"))
 
-    pairs = index.select("shard", "codes", "bwt").mapInArrow(_pairs(_classes(single, min_count)), "shard long, key long, n long")
-    keys = stage(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
-    columns, schema = ["kinds", "words", "codes", "bwt"], "kind string, phrase string, size int, n long"
-    if keys.count() <= BROADCAST_KEYS:
-        found = index.select(*columns).mapInArrow(_extend(longest, keys.toArrow().column(0).to_numpy()), schema)
-    else:
-        # Bounded by the shard's own words.
-        asked = stage(pairs.join(keys, "key", "left_semi").groupBy("shard").agg(F.collect_list("key").alias("keys")))
-        found = index.join(asked, "shard").select(*columns, "keys").mapInArrow(_extend(longest), schema)
-    longer = found.groupBy("kind", "phrase", "size").agg(F.sum("n").alias("f"))
-    both = single.select("kind", "phrase", F.lit(1).alias("size"), "f").unionByName(longer)
-    return totals, stage(both.where(F.col("f") >= min_count))
+    with _shards_per_batch(docs.sparkSession):
+        pairs = index.select("shard", "codes", "bwt").mapInArrow(_pairs(_classes(single, min_count)), "shard long, key long, n long")
+        keys = stage(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
+        columns, schema = ["kinds", "words", "codes", "bwt"], "kind string, phrase string, size int, n long"
+        if keys.count() <= BROADCAST_KEYS:
+            found = index.select(*columns).mapInArrow(_extend(longest, keys.toArrow().column(0).to_numpy()), schema)
+        else:
+            # Bounded by the shard's own words.
+            asked = stage(pairs.join(keys, "key", "left_semi").groupBy("shard").agg(F.collect_list("key").alias("keys")))
+            found = index.join(asked, "shard").select(*columns, "keys").mapInArrow(_extend(longest), schema)
+        longer = found.groupBy("kind", "phrase", "size").agg(F.sum("n").alias("f"))
+        both = single.select("kind", "phrase", F.lit(1).alias("size"), "f").unionByName(longer)
+        return totals, stage(both.where(F.col("f") >= min_count))
+
+
+@contextmanager
+def _shards_per_batch(spark: SparkSession, rows: int = 2) -> Iterator[None]:
+    """Jobs started inside hand shards to Python a few at a time: a row here is megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _part(words_of: str, begin: str, length: str) -> Column:
