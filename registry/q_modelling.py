@@ -186,6 +186,49 @@ def _(spark, sf):
     )
 
 
+# What the jobs above produce, in full: trained numbers have no SQL form, tests hold them to their definitions.
+
+
+@query("delivered_scores")
+def _(spark, sf):
+    """Every unlabelled row with its score and its points."""
+    train, val, _ = _parts(spark, sf)
+    model = models.train_model(train, val, FEATURES, "y")
+    fresh = sample(spark, sf).where(F.col("y").isNull()).select(*_IDS, "dt", *FEATURES)
+    return deliver_scores(fresh, model, [50.0], (COEF, INTERCEPT)).select(*_IDS, "dt", "score", "logistic_prob", "bscore")
+
+
+@query("split_metrics_and_gains")
+def _(spark, sf):
+    """AUC, KS and Gini of every split of a trained cell, and the gain of every feature."""
+    train, val, oot = _parts(spark, sf)
+    cell = run_cell(train, val, oot, FEATURES, "y", run="gbt", dt="dt")
+    measures = cell.evaluation.select(F.col("split").alias("item"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in ("n", "auc", "ks", "gini")])))
+    gains = models.importance_table(cell.model).select(F.col("feature").alias("item"), F.lit("gain_pct").alias("measure"), F.col("gain_pct").alias("value"))
+    return measures.unionByName(gains)
+
+
+@query("separability_and_importance")
+def _(spark, sf):
+    """How well development and out-of-time rows can be told apart, the drop share that follows, and by which features."""
+    s = sample(spark, sf).select(*_IDS, "dt", *FEATURES)
+    dev, oot = project.split_slice(s, "dt", ("19950101", "19991231")), project.split_slice(s, "dt", SPLITS.range("oot"))
+    _, importance, auc = models.train_adversarial(dev, oot, FEATURES, _IDS)
+    return importance.withColumns({"separability": F.lit(auc), "drop_share": F.lit(select.drop_share(auc))})
+
+
+@query("tuning_trials")
+def _(spark, sf):
+    """25 trials by successive halving: parameters, rounds and validation AUC of each."""
+    train, val, _ = _parts(spark, sf)
+    _, best, report = models.halving_search(train, val, FEATURES, "y", models.sampled_trials())
+    rows = [(r["trial"], r["maxDepth"], r["stepSize"], r["subsamplingRate"], r["minInstancesPerNode"], r["rounds"], r["auc"], all(best[k] == r[k] for k in best)) for r in report]
+    return spark.createDataFrame(
+        rows, "trial int, depth int, step double, row_share double, leaf_rows int, rounds int, auc double, chosen boolean"
+    )
+
+
 # Run tables.
 RUNS = f"""{S}, t AS (SELECT uid, score_old, score_new, y2, {SPLIT_TAG} AS split FROM s),
   m AS ({rank_sql('t', ['uid', 'split'], 'score_old', 'y2', 'split IS NOT NULL')}),

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from registry import query
+from registry import QUERIES, SQL, q_selection, query  # noqa: F401
 from registry.base import FEATURES, S, sample, table
 from riskspark.operators import bins, project, stability
 from riskspark.sources import evaluations, samples
@@ -69,18 +69,23 @@ def _(spark, sf):
     return got.select("run", "algo", "train_n", "oot_auc", "optimistic_bias")
 
 
-@query(
-    "feature_list_file",
-    "SELECT * FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) t(feature_name)",
-)
+@query("feature_list_file", f"SELECT feature AS feature_name FROM ({SQL['iv_psi_filter']}) WHERE kept")
 def _(spark, sf):
-    """Columns from the file's footer, an interval of them, written and read as a list."""
+    """Features that the missing, IV and PSI filter keeps over the whole table, written as a list and read back."""
     base = _folder(spark)
-    columns = samples.read_sample_columns(spark, f"{sf}/lineitem.parquet")
-    samples.write_feature_list(spark, project.interval_features(columns, "l_quantity", "l_tax"), f"{base}/f.csv")
+    kept = [r["feature"] for r in QUERIES["iv_psi_filter"](spark, sf).where("kept").collect()]  # at most the listed features
+    samples.write_feature_list(spark, kept, f"{base}/f.csv")
     return spark.createDataFrame([(f,) for f in samples.read_feature_list(spark, f"{base}/f.csv")], "feature_name string")
 
 
+@query("table_columns_file", "SELECT * FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) t(feature_name) WHERE (SELECT count(*) FROM lineitem) > 0")
+def _(spark, sf):
+    """Columns of the file's footer between two names, without those that hold no value in the whole table."""
+    columns = project.interval_features(samples.read_sample_columns(spark, f"{sf}/lineitem.parquet"), "l_quantity", "l_tax")
+    held = table(spark, sf, "lineitem").agg(*[F.count(c).alias(c) for c in columns])
+    return held.unpivot([], columns, "feature_name", "n").where("n > 0").select("feature_name")
+
+
 @query(
     "approx_edges",
     " UNION ALL ".join(f"SELECT '{f}' AS feature, TRUE AS within_bound" for f in FEATURES),

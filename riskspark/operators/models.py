@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.functions.values import to_number
 from riskspark.operators.project import align_features
-from riskspark.operators.quality import rank_metrics
+from riskspark.operators.quality import multi_label_metrics, rank_metrics
 from riskspark.operators.select import stratified_split
+from riskspark.operators.tree_sql import probability, tree_expressions
 from riskspark.operators.validate import require_columns
 from riskspark.sources.staging import stage, staged
 
@@ -153,3 +155,54 @@ def tune_model(
     if best is None:
         raise ValueError("no parameter set could be evaluated")
     return PipelineModel([*before, best[1]]), best[2], trials
+
+
+# Boosting rounds and survivors of a search: all trials start, the best go on with more rounds, the last rung is the full fit.
+RUNGS = ((3, 8), (10, 3), (None, 1))
+
+
+def sampled_trials(n: int = 25, seed: int = 42, start: dict | None = None) -> list[dict]:
+    """The starting point and ``n - 1`` reproducible draws around it: depth, step, row share, rows per leaf."""
+    draw, base = random.Random(seed), {**DEFAULT_PARAMS, **(start or {})}
+    return [base] + [
+        {
+            **base, "maxDepth": draw.randint(3, 6), "stepSize": round(0.03 * 10 ** draw.random(), 4),
+            "subsamplingRate": round(draw.uniform(0.6, 1.0), 3), "minInstancesPerNode": draw.choice([10, 20, 50, 100, 200]),
+        }
+        for _ in range(n - 1)
+    ]
+
+
+def halving_search(
+    train: DataFrame, val: DataFrame, features: Sequence[str], label: str, trials: Sequence[dict],
+    weight: str | None = None, seed: int = 42, rungs: Sequence[tuple[int | None, int]] = RUNGS,
+) -> tuple[PipelineModel, dict, list[dict]]:
+    """Successive halving over boosting rounds: ``(model, parameters, report)``.
+
+    A rung fits its trials with that many rounds (None: the trial's own ``maxIter``) and passes on as many as it says. All
+    models of a rung are compiled to SQL and judged by AUC in one pass over the validation rows. ``report`` has a line per
+    trial: its number, parameters, the rounds it got and its AUC there. Ties go to the earlier trial.
+    """
+    report = [{"trial": i, **p, "rounds": 0, "auc": None} for i, p in enumerate(trials)]
+    alive, fitted = list(range(len(trials))), {}
+    with staged(_training_rows(train, val, features, label, weight)) as rows:
+        made, before = _assembled(rows, features)
+        medians = before[0].surrogateDF.first()
+        held = rows.where("__val")
+        with staged(made) as vectors:
+            for rounds, survivors in rungs:
+                fitted = {
+                    i: _boost(vectors, {**trials[i], "maxIter": min(rounds or trials[i]["maxIter"], trials[i]["maxIter"])}, seed) for i in alive
+                }
+                scores = {
+                    f"t{i}": probability(tree_expressions(m, features, [medians[c] for c in features])) for i, m in fitted.items()
+                }
+                judged = multi_label_metrics(held.select("__y", *[c.alias(n) for n, c in scores.items()]), [], {n: n for n in scores}, ["__y"])
+                found = {int(r["model"][1:]): r["auc"] for r in judged.collect()}  # a row per trial
+                for i in alive:
+                    report[i] |= {"rounds": fitted[i].getMaxIter(), "auc": found.get(i)}
+                alive = sorted((i for i in alive if found.get(i) is not None), key=lambda i: (-found[i], i))[:survivors]
+                if not alive:
+                    raise ValueError("no parameter set could be evaluated")
+    best = alive[0]
+    return PipelineModel([*before, fitted[best]]), dict(trials[best]), report

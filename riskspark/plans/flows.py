@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.operators.clean import DEFAULT_SENTINELS, dedup_label_first, dedup_report, sentinel_replace, sentinel_report
 from riskspark.operators.models import model_features, score_rows, train_model
+from riskspark.operators.tree_sql import score_with_sql
 from riskspark.operators.project import derive_features, match_features
 from riskspark.operators.quality import ks_delta, ks_grid, ks_oot, split_evaluation, split_score_psi
 from riskspark.operators.report import (
@@ -62,10 +63,13 @@ def deliver_scores(
     df: DataFrame, model: PipelineModel, sentinels: Sequence[float] = DEFAULT_SENTINELS,
     calibration: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """Batch delivery: sentinels on the model's features → score → optional score-card. No de-duplication."""
+    """Batch delivery: sentinels on the model's features → score → optional score-card. No de-duplication.
+
+    The model is compiled to SQL, so that delivery is one projection in generated code.
+    """
     features = model_features(model)
     require_columns(df, features)
-    scored = score_rows(sentinel_replace(df, features, sentinels), model)
+    scored = score_with_sql(sentinel_replace(df, features, sentinels), model)
     return apply_scorecard(scored, "score", *calibration) if calibration else scored
 
 
