@@ -6,10 +6,16 @@ gradient descent in numpy on a bounded, reproducible sample of labelled rows (``
 set aside to fit the temperature and the rejection threshold. Scoring folds embedding and softmax into one table,
 so that a text costs one histogram and one product.
 
+A softmax only tells the learned languages apart, so a second signal tells them from everything else: familiarity,
+the mean log-likelihood of a text's subwords under the learned labels, averaged over the labels (a text mixed of two
+learned languages is familiar). It counts ``PRIOR`` subwords of the usual familiarity, so that a short text is not
+judged by a few letters.
+
 ``und`` with score 0 is given to null texts, texts without a letter, and everything when no label was learned.
-A text is rejected when it is ``und`` or its calibrated score is below the threshold, at most ``MAX_REJECT`` and
-low enough for all but a thousandth of rightly labelled calibration rows. Ties go to the first label by code
-point; repeated rows get equal results. Extra columns are ignored by ``predict`` and kept by ``keep_known``.
+A text is rejected when it is ``und``, when its score is below that of all but a thousandth of the calibration rows,
+or when it is less familiar than the floor: the thousandth quantile of the sample, each row judged by the others,
+moved away from the median by half their distance (``MARGIN``). Ties go to the first label by code point; repeated
+rows get equal results. Extra columns are ignored by ``predict`` and kept by ``keep_known``.
 """
 
 from __future__ import annotations
@@ -25,7 +31,10 @@ from riskspark.llm.base import id_mix, map_rows
 BUCKET_BITS = 14
 ORDERS = (2, 3, 4)
 PIECE = 1 << 20
-MAX_REJECT = 0.3
+REJECTED_SHARE = 0.001
+MARGIN = 0.5
+PRIOR = 50
+SMOOTH = 0.5
 UNKNOWN = "und"
 _SAMPLE_SPACE = 1 << 30
 
@@ -65,16 +74,21 @@ class Model:
     table: np.ndarray  # bucket x label: embedding times softmax weights, at the fitted temperature
     bias: np.ndarray
     threshold: float
+    familiar: np.ndarray  # log-likelihood of each bucket
+    usual: float
+    floor: float
 
-    def score(self, data: bytes) -> tuple[str, float]:
+    def score(self, data: bytes) -> tuple[str, float, bool]:
+        """Label, score, and whether the text is rejected."""
         if not self.labels:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         counts = subword_counts(data)
         seen = np.flatnonzero(counts)
-        total = max(1, counts.sum())
-        p = _softmax((counts[seen] @ self.table[seen] / total + self.bias)[None, :])[0]
+        total = counts.sum()
+        p = _softmax((counts[seen] @ self.table[seen] / max(1, total) + self.bias)[None, :])[0]
         best = int(p.argmax())
-        return self.labels[best], float(p[best])
+        known = _shrunk(counts[seen] @ self.familiar[seen], total, self.usual)
+        return self.labels[best], float(p[best]), bool(p[best] < self.threshold or known < self.floor)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -82,6 +96,32 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _shrunk(likelihood: float, n: int, usual: float) -> float:
+    return float((likelihood + PRIOR * usual) / (n + PRIOR))
+
+
+def familiarity(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_labels: int) -> tuple[np.ndarray, float, float]:
+    """Log-likelihood of each bucket, its usual mean in a text, and the floor; a row is judged without its own counts."""
+    size = 1 << BUCKET_BITS
+    held = np.zeros((n_labels, size))
+    for (bucket, n), label in zip(rows, y):
+        held[label, bucket] += n
+    total = held.sum(axis=1)
+    likelihood, length = np.zeros(len(rows)), np.zeros(len(rows))
+    for i, ((bucket, n), label) in enumerate(zip(rows, y)):
+        part, rest = held[:, bucket], total.copy()
+        part[label] -= n
+        rest[label] -= n.sum()
+        likelihood[i] = n @ np.log(((part + SMOOTH) / (rest + SMOOTH * size)[:, None]).mean(axis=0))
+        length[i] = n.sum()
+    some = length > 0
+    usual = float(np.median(likelihood[some] / length[some])) if some.any() else 0.0
+    known = [_shrunk(a, n, usual) for a, n in zip(likelihood, length)]
+    middle, low = np.quantile(known, (0.5, REJECTED_SHARE))
+    table = np.log(((held + SMOOTH) / (total + SMOOTH * size)[:, None]).mean(axis=0))
+    return table, usual, float(low - MARGIN * (middle - low))
+
+
 def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Mean bucket counts of a few rows."""
     x = np.zeros((len(rows), 1 << BUCKET_BITS), np.float32)
@@ -92,11 +132,11 @@ def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 12,
           rate: float = 2.0, batch: int = 32, seed: int = 7) -> Model:
-    """``rows``: seen buckets and their counts; ``y``: label indices. Every tenth row calibrates."""
+    """``rows``: seen buckets and their counts; ``y``: label indices. Every fifth row calibrates."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.3, (1 << BUCKET_BITS, dims)).astype(np.float32)
     weights, bias = np.zeros((dims, len(labels)), np.float32), np.zeros(len(labels), np.float32)
-    held = np.arange(len(rows)) % 10 == 9
+    held = np.arange(len(rows)) % 5 == 4
     fit = np.flatnonzero(~held)
     scale = np.float32(20.0)  # means are small numbers; this keeps one rate good for both layers
     for epoch in range(epochs):
@@ -121,14 +161,18 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, labels: list
         now = -np.log(np.maximum(p, 1e-12)).mean()
         if now < loss:
             best, loss = heat, now
-    p = _softmax(z / best)
-    right = p.max(axis=1)[p.argmax(axis=1) == y[check]]
-    threshold = min(MAX_REJECT, float(np.quantile(right, 0.001))) if len(right) else 0.0
-    return Model(tuple(labels), (scale * (embed @ weights) / best).astype(np.float32), bias / best, threshold)
+    threshold = float(np.quantile(_softmax(z / best).max(axis=1), REJECTED_SHARE))
+    table = (scale * (embed @ weights) / best).astype(np.float32)
+    return Model(tuple(labels), table, bias / best, threshold, *familiarity(rows, y, len(labels)))
+
+
+def _nothing_learned() -> Model:
+    size = 1 << BUCKET_BITS
+    return Model((), np.zeros((size, 0), np.float32), np.zeros(0, np.float32), 0.0, np.zeros(size), 0.0, 0.0)
 
 
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
-        max_per_label: int = 500, max_labels: int = 256) -> Model:
+        max_per_label: int = 600, max_labels: int = 256) -> Model:
     """Train on about ``max_per_label`` rows of each of the ``max_labels`` most frequent labels where ``learn`` holds."""
     label = F.col(label_col)
     known = docs.where(learn & label.isNotNull() & F.col(text_col).isNotNull())
@@ -136,7 +180,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", label_col: str =
     counts = {r["label"]: r["n"] for r in counts.orderBy(F.desc("n"), "label").limit(max_labels).collect()}
     labels = sorted(counts)
     if not labels:
-        return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0, np.float32), 0.0)
+        return _nothing_learned()
     cut = F.create_map(*(F.lit(v) for k in labels for v in (k, int(_SAMPLE_SPACE * min(1.0, max_per_label / counts[k])))))
     mix = id_mix(F.col(id_col), F.lit("language"))
     chosen = known.where(F.pmod(mix, F.lit(_SAMPLE_SPACE)) < F.element_at(cut, label))
@@ -152,7 +196,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", label_col: str =
     # Bounded: max_per_label times labels rows of at most two numbers per bucket.
     order = sorted(range(sample.num_rows), key=lambda i: (sample["mix"][i].as_py(), sample["label"][i].as_py()))
     if not order:
-        return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0, np.float32), 0.0)
+        return _nothing_learned()
     rows = [tuple(np.frombuffer(sample[c][i].as_py(), np.int32) for c in ("bucket", "n")) for i in order]
     return train(rows, np.array([labels.index(sample["label"][i].as_py()) for i in order]), labels)
 
@@ -166,8 +210,7 @@ def predict(
 
     def row(*values) -> Iterator[tuple]:
         *kept, data, lettered = values
-        name, score = shared.value.score(data) if lettered else (UNKNOWN, 0.0)
-        yield *kept, name, score, name == UNKNOWN or score < shared.value.threshold
+        yield *kept, *(shared.value.score(data) if lettered else (UNKNOWN, 0.0, True))
 
     text = F.col(text_col).cast("string")
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"{prefix}lang_pred string, {prefix}score double, {prefix}rejected boolean"])
