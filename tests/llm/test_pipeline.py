@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import secrets
+from riskspark.llm import langid, secrets
+from riskspark.llm.base import id_remainder
 from tests.llm import test_decontaminate, test_mixing, test_simhash
 from tests.llm.helpers import SCHEMA
 from tests.llm.test_langid import PARTS
@@ -31,7 +33,7 @@ def folder(spark, tmp_path_factory):
         if i % 12 == 3:
             text += ' token = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e" ' + "deadbeefdeadbeef"
         rows.append((i, text, lang, f"s{i % 4}" if i % 9 else None, len(text)))
-    rows += [(200, None, "en", "s0", None), (201, "", None, None, 0), (202, "123 !", "en", "s1", 5), rows[5], rows[5], (None, "the tion of ing", None, "s2", 15)]
+    rows += [(200, None, "en", "s0", None), (201, "", None, None, 0), (202, "123 !", "en", "s1", 5), (203, "язык это система знаков которая служит людям", None, "s1", 44), rows[5], rows[5], (None, "the tion of ing", None, "s2", 15)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, item), (2, None)], ITEMS).write.parquet(f"{path}/benchmark.parquet")
     return path
@@ -44,8 +46,10 @@ def key(row: tuple) -> tuple:
 def test_stages_against_plain_versions(spark, folder):
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-    # Language: nothing with letters is near-even here, so only letterless texts go.
-    docs = [d for d in docs if any(c.isalpha() for c in d[1] or "")]
+    # Language: letterless texts go, and those that the model of the same rows rejects.
+    model = langid.fit(spark.read.parquet(f"{folder}/documents.parquet"), id_remainder(F.col("doc_id"), 5) != 0)
+    docs = [d for d in docs if any(c.isalpha() for c in d[1] or "") and not model.score(d[1].encode())[2]]
+    assert len(docs) > 10 and not any("язык" in d[1] for d in docs)
     # Near-duplicates: the smallest id of each component, null last.
     label = test_simhash.brute([test_simhash.plain(d[1]) for d in docs])
     best = {}

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import re
 
-from riskspark.llm import secrets
+from riskspark.llm import queries, secrets
 from tests.llm.helpers import awkward, clashing, empty
 
 
@@ -56,8 +57,71 @@ def test_structures_are_confirmed():
     assert ("pem", 2, len(pem) - 1) in [s[:3] for s in secrets.spans_of(pem)]
 
 
+def named(text: str) -> list[tuple]:
+    return [(s[0], text[s[1] : s[2]], s[4]) for s in secrets.spans_of(text) if not s[3]]
+
+
+PBES2 = bytes.fromhex("2a864886f70d01050d")
+ENCRYPTED = der(0x30, der(0x30, der(6, PBES2) + der(0x30, b"")) + der(4, b"c" * 128))
+REAL_SSH = SSH[:-20] + b"".join(len(f).to_bytes(4, "big") + f for f in (b"public" * 9, b"private" * 30))
+
+
+def test_pem_with_headers_and_escapes():
+    body = base64.encodebytes(RSA).decode()
+    for inner, detail in (
+        (f"Comment: mine\n\n{body}", "rsa"), (body.replace("\n", "\\n"), "rsa"), (body.replace("\n", "\r\n"), "rsa"),
+        (body.replace("/", "\\/"), "rsa"),
+        (f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0F' * 16}\n\n{base64.encodebytes(b'c' * 64).decode()}", "encrypted"),
+    ):
+        frame = f"-----BEGIN RSA PRIVATE KEY-----\n{inner}\n-----END RSA PRIVATE KEY-----"
+        assert ("pem", frame, detail) in named(f"é -----BEGIN EC PRIVATE KEY----- {frame} x")
+    frame = f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{base64.encodebytes(ENCRYPTED).decode()}-----END ENCRYPTED PRIVATE KEY-----"
+    assert ("pem", frame, "pkcs8-encrypted") in named(frame)
+    unsaid = f"-----BEGIN RSA PRIVATE KEY-----\n{base64.b64encode(b'c' * 64).decode()}\n-----END RSA PRIVATE KEY-----"
+    assert not named(unsaid)
+
+
+def test_wrapped_base64_without_a_frame():
+    for data, kind, detail in ((RSA, "der", "rsa"), (ENCRYPTED, "der", "pkcs8-encrypted"), (REAL_SSH, "openssh", "openssh-key-v1")):
+        for end in ("\n", "\r\n", "\\n", "\n    "):
+            wrapped = base64.encodebytes(data).decode().rstrip("\n").replace("\n", end)
+            assert (kind, wrapped, detail) in named(f"é words\nabove\n{wrapped}\nbelow here")
+            assert (kind, wrapped, detail) in named(f"key: {wrapped}")
+
+
+def test_starts_inside_a_run():
+    text = base64.b64encode(RSA).decode()
+    for before in ("data/", "my-", "my_", "x+", "a/b/c/"):
+        assert ("der", text, "rsa") in named(before + text)
+    digits = RSA.hex()
+    for before, behind in (("", "7"), ("7", ""), ("abc", ""), ("00", "f")):
+        assert [s[0] for s in named(before + digits + behind)] == ["der"]
+        assert digits in named(before + digits + behind)[0][1]
+    assert [s[0] for s in named(digits.upper())] == ["der"]
+
+
+def test_long_texts_of_starts_stay_cheap():
+    for piece in ("MIIEowIBAAKCAQEA/", "MII/" * 16 + "\n", "30820122", "b3BlbnNzaC1rZXktdjEA/", "-----BEGIN PRIVATE KEY-----"):
+        assert not named(piece * 20000)
+
+
+def test_query_digests(spark, tmp_path):
+    """The registered query: base spans, their digest and all spans, for every row."""
+    df = awkward(spark, TEXTS + ["data/" + base64.b64encode(RSA).decode()])
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op7_secrets"](spark, str(tmp_path)).collect()}
+    for r in df.collect():
+        want = base(r["text"] or "")
+        row = got[r["doc_id"]]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(s[0] == k for s in want) for k in ("assign", "access", "hex")]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert row["spans"] == ",".join(f"{s[0]}:{s[1]}:{s[2]}" for s in secrets.spans_of(r["text"]))
+
+
 def test_lookalikes_are_not():
-    broken = [RSA[:-1], RSA + b"\0", der(0x30, der(2, b"\0") * 3), b"plain prose that is long enough to decode"]
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01")) + der(4, b"d" * 32))
+    broken = [digest, RSA[:-1], RSA + b"\0", der(0x30, der(2, b"\0") * 3), b"plain prose that is long enough to decode"]
     for data in broken:
         assert not [s for s in secrets.spans_of(base64.b64encode(data).decode()) if not s[3]]
     assert not [s for s in secrets.spans_of("eyJub3QiOiJhbGcifQ.eyJ9.x " + "A" * 500 + " " + "0" * 501) if not s[3]]
