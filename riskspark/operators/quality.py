@@ -113,6 +113,14 @@ def decile_table(
     all of these are interchangeable, so they are collapsed first and split over buckets by arithmetic.
     """
     tie = list(dict.fromkeys([*order_cols, label, *biz_cols]))
+    collapsed, order = _decile_counts(df, score, label, keys, tie)
+    return _deciles(collapsed, order, label, keys, biz_cols, tie, n_bins)
+
+
+def _decile_counts(
+    df: DataFrame, score: str, label: str, keys: Sequence[str], tie: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Rows equal in score and tie columns as one row with a count ``c``, and the names of the order columns."""
     lowest = F.lit(float("-inf"))
     named = _valid(df, score, label).select(
         *keys,
@@ -120,7 +128,15 @@ def decile_table(
         *[F.coalesce(F.col(c).cast("double"), lowest).alias(f"__t{i}") for i, c in enumerate(tie)],
     )
     order = ["__d", *[f"__t{i}" for i in range(len(tie))]]
-    collapsed = named.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("c"))
+    return named.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("c")), order
+
+
+def _deciles(
+    collapsed: DataFrame, order: Sequence[str], label: str, keys: Sequence[str], biz_cols: Sequence[str],
+    tie: Sequence[str], n_bins: int,
+) -> DataFrame:
+    """Decile table of weighted distinct scores: a count that crosses a bucket border is cut there."""
+    lowest = F.lit(float("-inf"))
     t = running_totals(collapsed, keys, order, ["c"])
     first, last, n = F.col("before_c"), F.col("before_c") + F.col("c") - 1, F.col("total_c")
 
@@ -182,9 +198,12 @@ def split_evaluation(df: DataFrame, score: str, label: str, split: str) -> DataF
 def split_deciles(
     df: DataFrame, score: str, label: str, split: str, biz_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Decile table of every split and of ``all`` rows together."""
-    both = df.withColumn(split, F.explode(F.array(F.col(split), F.lit("all"))))
-    return decile_table(both, score, label, [split], biz_cols)
+    """Decile table of every split and of ``all`` rows together, added to the collapsed counts, not to the rows."""
+    tie = list(dict.fromkeys([label, *biz_cols]))
+    counts, order = _decile_counts(df, score, label, [split], tie)
+    both = counts.withColumn(split, F.explode(F.array(F.col(split), F.lit("all"))))
+    merged = both.groupBy(split, *order).agg(F.sum("c").alias("c"))
+    return _deciles(merged, order, label, [split], biz_cols, tie, 10)
 
 
 def split_score_psi(

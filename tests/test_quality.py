@@ -78,3 +78,19 @@ def test_deciles_follow_row_positions(spark, n):
         assert math.isclose(r["label_rate"], sum(y for _, y in inside) / len(inside), abs_tol=1e-6)
     if sum(labels):
         assert table[min(table)]["cum_recall"] == 1.0
+
+
+def test_split_deciles_cut_tied_counts_like_whole_rows(spark):
+    """Few distinct scores, so that nearly every bucket border cuts a tie: each split and ``all`` against their own rows."""
+    rows = [("a" if i % 3 else "b", float(i % 4), i % 2, i % 5) for i in range(203)] + [(None, 2.0, 1, 1), ("a", None, 1, 1)]
+    df = spark.createDataFrame(rows, "split string, score double, y int, amount int")
+    got = quality.split_deciles(df, "score", "y", "split", ["amount"])
+    columns = [c for c in got.columns if c != "split"]
+
+    def rows_of(frame):
+        return sorted(tuple(r) for r in frame.select(*columns).collect())
+
+    for part, rows_in in (("a", "split = 'a'"), ("b", "split = 'b'"), ("all", "true")):
+        alone = quality.decile_table(df.where(rows_in), "score", "y", biz_cols=["amount"])
+        assert rows_of(got.where(f"split = '{part}'")) == rows_of(alone)
+    assert got.where("split is null").count() == 1
