@@ -94,3 +94,17 @@ def test_split_deciles_cut_tied_counts_like_whole_rows(spark):
         alone = quality.decile_table(df.where(rows_in), "score", "y", biz_cols=["amount"])
         assert rows_of(got.where(f"split = '{part}'")) == rows_of(alone)
     assert got.where("split is null").count() == 1
+
+
+def test_values_are_rounded_as_in_sql(spark):
+    import duckdb
+
+    from registry.base import rounded
+
+    values = [k / 1000 + 0.005 for k in range(0, 1000, 10)] + [-0.285, 0.565, 1.005, None, float("nan")]
+    df = spark.createDataFrame([(v, v) for v in values], "v double, r double")
+    for digits in (2, 8):
+        got = {repr(r["v"]): r["r"] for r in rounded(df, digits, "r").collect()}
+        for v in values[:-1]:
+            assert got[repr(v)] == duckdb.execute(f"SELECT round(CAST(? AS DOUBLE), {digits})", [v]).fetchone()[0]
+        assert math.isnan(got["nan"])
