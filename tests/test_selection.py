@@ -137,6 +137,21 @@ def test_stratified_split_is_exact_and_reproducible(spark, dev):
     assert select.stratified_split(single, "label", ["fuid"]).where("part = 'train'").count() == round(51 * 0.7)
 
 
+def test_stratified_split_does_not_deal_rows_by_label(spark):
+    df = spark.range(4000, numPartitions=8).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        tagged = select.stratified_split(df, "y", ["id"])
+        sizes = [r["count"] for r in tagged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) <= 600
+
+
 def test_negative_downsample(spark, dev):
     rows = dev.withColumn("y", (F.col("f1") == 0).cast("int"))
     kept = select.negative_downsample(rows, "y", 8, ["fuid"])
