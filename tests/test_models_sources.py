@@ -179,6 +179,24 @@ def test_sources(spark, tmp_path):
     assert staged.exceptAll(df).isEmpty() and staged.schema == df.schema
 
 
+def test_fits_read_even_parts_of_the_rows(spark, monkeypatch):
+    rows = spark.range(1000, numPartitions=1).select((F.col("id") % 2).alias("y"), (F.col("id") * 7 % 11).cast("double").alias("f"))
+    sizes = []
+
+    def boost(vectors, params, seed, real=models._boost):
+        sizes.append([r["count"] for r in vectors.groupBy(F.spark_partition_id().alias("p")).count().collect()])
+        return real(vectors, params, seed)
+
+    monkeypatch.setattr(models, "TASK_ROWS", 50, raising=False)
+    monkeypatch.setattr(models, "_boost", boost)
+    small = {"maxIter": 1, "maxDepth": 2}
+    models.train_model(rows, rows, ["f"], "y", params=small)
+    models.tune_model(rows, rows, ["f"], "y", [small])
+    models.halving_search(rows, rows, ["f"], "y", [{**models.DEFAULT_PARAMS, **small}])
+    assert len(sizes) >= 3
+    assert all(sum(s) == 2000 and max(s) <= 60 for s in sizes)
+
+
 def test_collect_evaluations(spark, tmp_path):
     for run, auc in (("a-1", 0.6), ("b 2", 0.7)):
         d = tmp_path / run / "evaluation"
