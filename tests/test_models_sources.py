@@ -211,6 +211,13 @@ def test_collect_evaluations(spark, tmp_path):
     assert status == {"a-1": "done", "c": "failed", "d": "missing_eval"}
 
 
+def test_summary_computes_points_once(spark):
+    df = spark.createDataFrame([(0.1,), (0.4,), (None,)], "p double")
+    summary = scorecard.scorecard_summary(scorecard.apply_scorecard(df, "p", 1.2, -0.3))
+    assert "log(" not in summary._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert summary.first()["n"] == 3 and summary.first()["not_finite"] == 1
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
