@@ -64,8 +64,11 @@ def _(spark, sf):
     empty = {m: F.lit(None) for m in ("train", "oot")}
     splits = F.struct(*[F.struct("n", (F.col("auc") if s == "oot" else F.lit(0.5)).alias("auc")).alias(s) for s in empty])
     files = runs.select(splits.alias("splits"), F.lit("gbt").alias("algo"), F.lit("evaluation").alias("part"), "run")
-    files.repartition("run").write.partitionBy("run", "part").json(base)
-    got = evaluations.collect_evaluations(spark, f"{base}/*/*/*.json")
+    # A fixed number of tasks: the rows are few bytes, so their partitions would be merged to one, and each row is a file.
+    # Tasks move their own files into place; the folder is new and read only after the job has ended.
+    dealt = files.repartition(4 * spark.sparkContext.defaultParallelism, "run").write.partitionBy("run", "part")
+    dealt.option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(base)
+    got = evaluations.collect_evaluations(spark, base)
     return got.select("run", "algo", "train_n", "oot_auc", "optimistic_bias")
 
 

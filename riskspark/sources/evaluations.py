@@ -12,11 +12,12 @@ EVAL_SCHEMA = (
 
 
 def collect_evaluations(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per run directory matched by e.g. ``/runs/*/evaluation/eval.json``.
+    """One row per run directory matched by e.g. ``/runs/*/evaluation/eval.json``, or held by a folder such as ``/runs``.
 
-    The schema is given, so no inference pass opens every file twice.
+    The schema is given, so no inference pass opens every file twice. A pattern is expanded by the driver; the folders
+    below a named one are listed by tasks, which suits many thousands of runs.
     """
-    raw = spark.read.schema(EVAL_SCHEMA).json(pattern, multiLine=True)
+    raw = spark.read.schema(EVAL_SCHEMA).json(pattern, multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     run = F.element_at(F.split(F.input_file_name(), "/"), -3)
     return raw.select(
         F.url_decode(run).alias("run"),

@@ -211,6 +211,26 @@ def test_collect_evaluations(spark, tmp_path):
     assert status == {"a-1": "done", "c": "failed", "d": "missing_eval"}
 
 
+def test_collect_evaluations_of_a_folder(spark, tmp_path):
+    for run, auc in (("a-1", 0.6), ("b 2", 0.7)):
+        d = tmp_path / run / "evaluation"
+        d.mkdir(parents=True)
+        (d / "eval.json").write_text(json.dumps({"splits": {"oot": {"auc": auc}}, "algo": "gbt"}))
+        (d / "notes.txt").write_text("{")
+    got = evaluations.collect_evaluations(spark, str(tmp_path))
+    assert sorted((r["run"], r["oot_auc"]) for r in got.collect()) == [("a-1", 0.6), ("b 2", 0.7)]
+
+
+def test_evaluation_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from registry import QUERIES, load, q_sources
+
+    load()
+    monkeypatch.setattr(q_sources, "_folder", lambda spark: str(tmp_path / "runs"))
+    rows = QUERIES["evaluation_files"](spark, "/root/testdata/sf0.001").count()
+    files = [f.name for f in (tmp_path / "runs").glob("*/*/*.json")]
+    assert len(files) == rows and len({f[:10] for f in files}) > 1
+
+
 def test_summary_computes_points_once(spark):
     df = spark.createDataFrame([(0.1,), (0.4,), (None,)], "p double")
     summary = scorecard.scorecard_summary(scorecard.apply_scorecard(df, "p", 1.2, -0.3))
