@@ -197,6 +197,36 @@ def test_fits_read_even_parts_of_the_rows(spark, monkeypatch):
     assert all(sum(s) == 2000 and max(s) <= 60 for s in sizes)
 
 
+def test_large_tables_are_fitted_in_blocks_of_equal_bins(spark, monkeypatch):
+    """Fits get about ``FIT_ROWS`` blocks however many rows there are; no row or weight is lost, and scores hold on all rows."""
+    n = 6000
+    rows = spark.range(n).select(
+        "id", (F.col("id") % 5).cast("double").alias("few"), F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 1009).cast("double")).alias("many"),
+        (F.pmod(F.xxhash64("id"), F.lit(10)) < F.when(F.col("id") * 37 % 1009 > 504, 8).otherwise(2)).cast("double").alias("y"),
+    )
+    train, val = rows.where("id % 3 > 0"), rows.where("id % 3 = 0")
+    seen = []
+
+    def boost(vectors, params, seed, real=models._boost):
+        seen.append(vectors.groupBy("__val").agg(F.count("*").alias("n"), F.sum("__w").alias("w")).collect())
+        return real(vectors, params, seed)
+
+    monkeypatch.setattr(models, "FIT_ROWS", 400, raising=False)
+    monkeypatch.setattr(models, "_boost", boost)
+    model, best, trials = models.tune_model(train, val, ["few", "many"], "y", [FAST, {**FAST, "maxDepth": 1}])
+    p, m = train.where("y = 1").count(), train.count()
+    weight = {False: 2.0 * (m - p), True: val.where("y = 0").count() + val.where("y = 1").count() * (m - p) / p}
+    for r in seen[0]:
+        assert math.isclose(r["w"], weight[r["__val"]], rel_tol=1e-9)
+        assert r["n"] <= 400 + 2 * 2 * 5 * 33
+    assert len(seen) == 2 and sum(r["n"] for r in seen[0]) < n / 3
+    scored = models.score_rows(val, model)
+    auc = quality.auc(scored, "score", "y").first()["auc"]
+    assert auc > 0.7 and math.isclose(auc, max(t[1] for t in trials), rel_tol=1e-9)
+    compiled = {r["id"]: r["score"] for r in deliver_scores(rows, model, []).collect()}
+    assert all(math.isclose(r["score"], compiled[r["id"]], rel_tol=1e-12) for r in models.score_rows(rows, model).collect())
+
+
 def test_collect_evaluations(spark, tmp_path):
     for run, auc in (("a-1", 0.6), ("b 2", 0.7)):
         d = tmp_path / run / "evaluation"
