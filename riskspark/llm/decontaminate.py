@@ -87,10 +87,13 @@ def judge(
         aligned.groupBy("__id", "__h").agg(F.collect_list(F.struct("item", "length", "start")).alias("candidates"))
     )
 
-    # Each candidate takes its stretch of the document along; words outside the document are null.
-    mine = split["__id"].eqNullSafe(stretches["__id"]) & (split["__h"] == stretches["__h"])
-    cut = split.join(stretches, mine).select(
-        split["__id"], split["__h"],
+    # Each candidate takes its stretch of the document along; words outside the document are null. Texts travel whole and are
+    # split where they arrive, as an array of words takes several times their room.
+    whole = docs.select(*key, F.col(text_col).alias("__text"))
+    mine = whole["__id"].eqNullSafe(stretches["__id"]) & (whole["__h"] == stretches["__h"])
+    arrived = whole.join(stretches, mine).select(whole["__id"], whole["__h"], "candidates", words(F.col("__text")).alias("words"))
+    cut = arrived.select(
+        "__id", "__h",
         F.explode(
             F.transform(
                 "candidates",
@@ -140,9 +143,15 @@ def judge(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kind) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` does not call contaminated; every other row stays, repeats included."""
-    bad = judge(docs, benchmark, id_col, text_col, **kind).where("contaminated").select(
-        F.col(id_col).alias("__id"), F.col("text_hash").alias("__h")
+    """The rows of ``docs`` that ``judge`` does not call contaminated; every other row stays, repeats included.
+
+    The contaminated ones are written first, two numbers a row: where their size allows it they go to every task, and no text
+    is shuffled to drop them.
+    """
+    bad = stage(
+        judge(docs, benchmark, id_col, text_col, **kind).where("contaminated").select(
+            F.col(id_col).alias("__id"), F.col("text_hash").alias("__h")
+        )
     )
     mine = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__h"))
     return docs.join(bad, mine, "left_anti")

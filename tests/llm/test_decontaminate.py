@@ -70,6 +70,14 @@ def test_drop_keeps_all_clean_rows(spark):
     assert kept.columns == df.columns and sorted(str(r["text"]) for r in kept.collect()) == ["None", "clean text"]
 
 
+def test_dropping_shuffles_no_text(spark):
+    df = documents(spark, [(i, f"one two three {i}" if i % 3 else f"clean text {i}", None, None, None) for i in range(30)])
+    kept = decontaminate.drop_contaminated(df, spark.createDataFrame([(9, "one two three")], ITEMS))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert kept.count() == 10
+
+
 def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame([(9, "one two three")], ITEMS)
     plan = decontaminate.judge(awkward(spark), bench)._jdf.queryExecution().toString()
