@@ -19,6 +19,7 @@ from riskspark.llm.base import lower_ascii
 from riskspark.sources.staging import stage
 
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+CASED_BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same for texts that are not lower-cased
 
 
 def words(text: Column) -> Column:
@@ -26,6 +27,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(lower_ascii(text), F.lit("")), BREAKS), "")
 
 
+def word_count(text: Column) -> Column:
+    """The number of ``words``, without lower-casing the text."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), CASED_BREAKS), ""))
+
+
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item, item_words): items with equal words are compared once; ``ids`` lists them."""
     found = benchmark.select(F.col(id_col).alias("__id"), words(F.col(text_col)).alias("item_words"))
@@ -131,7 +137,7 @@ def judge(
     found = n_hit.join(found, n_hit["__id"].eqNullSafe(found["__id"]) & (n_hit["__h"] == found["__h"]), "left").select(
         n_hit["__id"].alias("f_id"), n_hit["__h"].alias("f_h"), "n_hit", "item_ids"
     )
-    result = split.select("__id", "__h", F.size("words").cast("long").alias("n_words")).join(
+    result = docs.select(*key, word_count(F.col(text_col)).cast("long").alias("n_words")).join(
         stage(found), F.col("__id").eqNullSafe(F.col("f_id")) & (F.col("__h") == F.col("f_h")), "left"
     )
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")

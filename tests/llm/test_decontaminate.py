@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from riskspark.llm import decontaminate
 from tests.llm.helpers import awkward, clashing, documents, empty
 
@@ -70,6 +72,12 @@ def test_drop_keeps_all_clean_rows(spark):
     assert kept.columns == df.columns and sorted(str(r["text"]) for r in kept.collect()) == ["None", "clean text"]
 
 
+def test_words_are_counted_in_any_case(spark):
+    texts = ["Ab CD, eF", "A@B[C`d{E", " ÄB\x7f9z ", "", None, "Z", "...", "İX KELVIN\u212a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(decontaminate.word_count(F.col("t")).alias("n"))
+    assert [r["n"] for r in df.collect()] == [len(split(t)) for t in texts]
+
+
 def test_dropping_shuffles_no_text(spark):
     df = documents(spark, [(i, f"one two three {i}" if i % 3 else f"clean text {i}", None, None, None) for i in range(30)])
     kept = decontaminate.drop_contaminated(df, spark.createDataFrame([(9, "one two three")], ITEMS))
