@@ -260,15 +260,15 @@ def frequent(
     docs: DataFrame, kind: Column, text_col: str = "text", min_count: int = 100, longest: int = 5, shard_words: int = SHARD_WORDS
 ) -> tuple[DataFrame, DataFrame]:
     """(kind, n): words of each kind; and (kind, phrase, size, f): phrases of 1 to ``longest`` words that occur ``min_count`` times."""
-    with _rows_per_batch(docs.sparkSession, 1024):
-        index = stage(shards(docs, kind, text_col, shard_words, longest))
+    with _rows_per_batch(docs.sparkSession, 256):
+        index = stage(shards(docs, kind, text_col, shard_words, longest), large_rows=True)
     single = index.select(F.explode(F.arrays_zip("kinds", "words", "counts", "codes")).alias("e")).groupBy(
         F.col("e.kinds").alias("kind"), F.col("e.words").alias("phrase")
     ).agg(F.sum("e.counts").alias("f"), F.min("e.codes").alias("symbol"))
     single = stage(single)
     totals = single.groupBy("kind").agg(F.sum("f").alias("n"))
 
-    with _rows_per_batch(docs.sparkSession, 2):
+    with _rows_per_batch(docs.sparkSession, 1):
         pairs = index.select("shard", "codes", "bwt").mapInArrow(_pairs(_classes(single, min_count)), "shard long, key long, n long")
         keys = stage(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
         columns, schema = ["kinds", "words", "codes", "bwt"], "kind string, phrase string, size int, n long"

@@ -136,3 +136,16 @@ def test_registered_query(spark, tmp_path):
 def test_empty(spark):
     assert phrases.collocations(empty(spark)).count() == 0
     assert phrases.collocations(documents(spark, [(1, None, None, None, None), (2, " .,", "en", "a", 3)]), min_count=1).count() == 0
+
+
+def test_a_staged_shard_is_a_row_group_of_its_own(spark):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from riskspark.sources.staging import stage
+
+    docs = spark.range(24).coalesce(1).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(60_000)), lambda i: F.concat(F.lit("w"), F.xxhash64(i, "id")))).alias("text"))
+    index = stage(phrases.shards(docs, F.lit("en"), "text", 1 << 18), large_rows=True)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    assert sum(m.num_rows for m in files) > 3
+    assert all(m.num_row_groups == m.num_rows for m in files)
