@@ -24,6 +24,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +47,6 @@ END = 0
 _SPACE = 1 << 30
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def _ending(word: bytes) -> int:
     return (word[-1] + 31 * word[-2 if len(word) > 1 else -1]) % ENDINGS
 
@@ -86,9 +83,21 @@ def network(words: int, seed: int = 5) -> Network:
     )
 
 
+def _exp_sums(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(e, sums, top): exponentials of rows less ``top``, and their sums. One ``top`` serves all rows unless some row is far below it."""
+    top = z.max(initial=0)
+    e = np.exp(z - top)
+    sums = e @ np.ones(z.shape[1], z.dtype)
+    if len(sums) and not sums.min() > 1e-25:
+        top = z.max(axis=1)
+        e = np.exp(z - top[:, None])
+        sums = e.sum(axis=1)
+    return e, sums, top
+
+
 def _lse(z: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1)
-    return top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+    _, sums, top = _exp_sums(z)
+    return np.log(sums) + top
 
 
 def log_probability(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -107,17 +116,26 @@ def log_probability(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarr
 
 
 def _shares(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1)[:, None])
-    e /= e.sum(axis=1)[:, None]
+    e, sums, _ = _exp_sums(z)
+    e *= (1 / sums)[:, None]
     return e
 
 
 def _step(net: Network, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     u = h @ net.gates
-    zr = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
+    zr = x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
-    return n + z * (h - n), z, r, n, u[:, 2 * HIDDEN :]
+    n = r * u[:, 2 * HIDDEN :]
+    n += x[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, n, u[:, 2 * HIDDEN :]
 
 
 @dataclass
@@ -157,9 +175,9 @@ def score_texts(net: Network, reads: list[np.ndarray], targets: list[np.ndarray]
     h = np.zeros((width, HIDDEN), np.float32)
     for at in range(0, steps, window):
         read, target, first, text = (x[at : at + window] for x in (laid.read, laid.target, laid.first, laid.text))
-        states = np.empty((*read.shape, HIDDEN), np.float32)
+        states, opens = np.empty((*read.shape, HIDDEN), np.float32), first.any(axis=1)
         for t in range(len(read)):
-            if first[t].any():
+            if opens[t]:
                 h = h * ~first[t][:, None]
             h = states[t] = _step(net, net.inputs[read[t]], h)[0]
         live = target >= 0
@@ -186,19 +204,22 @@ class _Adam:
 
 def gradients(net: Network, read: np.ndarray, target: np.ndarray, first: np.ndarray, h: np.ndarray) -> tuple[dict, float, np.ndarray]:
     """Gradients of the mean loss over one window, cut off at its start; the loss and the last state."""
-    kept, inputs = [], net.inputs[read]
-    states = np.empty((*read.shape, HIDDEN), net.gates.dtype)
+    inputs, kind = net.inputs[read], net.gates.dtype
+    states, before, z, r, n, un = (np.empty((*read.shape, HIDDEN), kind) for _ in range(6))
+    opens = first.any(axis=1)
     for t in range(len(read)):
-        before = h * ~first[t][:, None]
-        h, z, r, n, un = _step(net, inputs[t], before)
-        states[t] = h
-        kept.append((before, z, r, n, un))
-    live = target >= 0
-    flat, goal = states[live], target[live]
+        if opens[t]:
+            h = h * ~first[t][:, None]
+        before[t] = h
+        states[t], z[t], r[t], n[t], un[t] = _step(net, inputs[t], h)
+        h = states[t]
+    live = np.flatnonzero(target.ravel() >= 0)
+    goal = target.ravel()[live]
     count = max(1, len(goal))
     group = np.where(goal >= net.words, net.classes, goal // CLASS_WORDS)
     order = np.argsort(group.astype(np.uint16), kind="stable")
-    flat, goal, group = flat[order], goal[order], group[order]
+    live, goal, group = live[order], goal[order], group[order]
+    flat = states.reshape(-1, HIDDEN)[live]
     edges = np.searchsorted(group, np.arange(net.classes + 1))
     p = _shares(flat @ net.class_w + net.class_b)
     loss = -np.log(np.maximum(p[np.arange(len(p)), group], 1e-30)).sum()
@@ -216,26 +237,31 @@ def gradients(net: Network, read: np.ndarray, target: np.ndarray, first: np.ndar
         grads["word_w"][c], grads["word_b"][c] = flat[rows].T @ q, q.sum(axis=0)
         dflat[rows] += q @ net.word_w[c].T
     dstates = np.zeros_like(states)
-    dstates[live] = dflat[np.argsort(order)]
-    dh, dinputs = np.zeros_like(h), np.empty_like(inputs)
-    dgates = np.zeros_like(net.gates)
+    dstates.reshape(-1, HIDDEN)[live] = dflat
+    # What a state's gradient is multiplied by, for all steps at once.
+    by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), un * r * (1 - r)
+    dh, dinputs, du = np.zeros_like(h), np.empty_like(inputs), np.empty_like(inputs)
+    back = np.ascontiguousarray(net.gates.T)
     for t in range(len(read) - 1, -1, -1):
-        before, z, r, n, un = kept[t]
-        dh = dh + dstates[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        dr = dn * un * r * (1 - r)
-        dinputs[t] = np.concatenate([dz, dr, dn], axis=1)
-        du = np.concatenate([dz, dr, dn * r], axis=1)
-        dgates += before.T @ du
-        dh = (dh * z + du @ net.gates.T) * ~first[t][:, None]
-    grads["gates"] = dgates
+        dh += dstates[t]
+        dn = dh * by_n[t]
+        now = du[t]
+        np.multiply(dh, by_z[t], out=now[:, :HIDDEN])
+        np.multiply(dn, by_r[t], out=now[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(dn, r[t], out=now[:, 2 * HIDDEN :])
+        dinputs[t, :, 2 * HIDDEN :] = dn
+        dh *= z[t]
+        dh += now @ back
+        if opens[t]:
+            dh *= ~first[t][:, None]
+    dinputs[:, :, : 2 * HIDDEN] = du[:, :, : 2 * HIDDEN]
+    grads["gates"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
     grads["inputs"] = np.zeros_like(net.inputs)
     order = np.argsort(read.ravel().astype(np.uint16), kind="stable")
     token = read.ravel()[order]
     starts = np.flatnonzero(np.diff(token, prepend=-1))
     grads["inputs"][token[starts]] = np.add.reduceat(dinputs.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
-    norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+    norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
     if norm > 1:
         grads = {k: g / norm for k, g in grads.items()}
     return grads, loss / count, h
@@ -271,7 +297,7 @@ class Vocabulary:
     def encode(self, words: list[bytes], end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """(number or -1 of each token, what is read, what is predicted, the words without number)."""
         get = self.numbers.get
-        number = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+        number = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         rare_at = np.flatnonzero(number < 0)
         rare = [words[i] for i in rare_at.tolist()]
         shown = np.where(number < self.words, number, self.words + self.endings[number])

@@ -115,3 +115,12 @@ def test_every_token_is_learned_and_ranked(spark):
         kept, part = kept + n, part + n * alone.class_w.astype(float)
     assert kept == tokens and np.allclose(part / tokens, whole.class_w, atol=1e-5)
     assert len(losses) == 1 and not np.allclose(net.class_w, start.class_w, atol=1e-3)
+
+
+def test_rows_far_below_others_keep_their_own_scale():
+    z = np.array([[0, 1, -1e9], [-500, -501, -1e9], [300, 2, 1]], np.float32)
+    top = z.max(axis=1)
+    shares = np.exp(z - top[:, None])
+    assert np.allclose(grulm._lse(z), top + np.log(shares.sum(axis=1)), rtol=1e-6)
+    assert np.allclose(grulm._shares(z), shares / shares.sum(axis=1)[:, None], rtol=1e-6)
+    assert len(grulm._lse(z[:0])) == 0 and grulm._shares(z[:0]).shape == (0, 3)
