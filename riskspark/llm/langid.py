@@ -20,6 +20,7 @@ rows get equal results. Extra columns are ignored by ``predict`` and kept by ``k
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,6 +69,18 @@ def subword_counts(data: bytes) -> np.ndarray:
     return counts
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The seen buckets as gaps, and their counts, compressed: about a quarter of two numbers a bucket."""
+    seen = np.flatnonzero(counts)
+    return zlib.compress(np.diff(seen, prepend=0).astype(np.uint16).tobytes() + counts[seen].astype(np.int32).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    size = len(raw) // 6
+    return np.cumsum(np.frombuffer(raw, np.uint16, size), dtype=np.uint16), np.frombuffer(raw, np.int32, size, 2 * size).copy()
+
+
 @dataclass(frozen=True)
 class Model:
     labels: tuple[str, ...]
@@ -186,19 +199,18 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", label_col: str =
     chosen = known.where(F.pmod(mix, F.lit(_SAMPLE_SPACE)) < F.element_at(cut, label))
 
     def features(mixed, name, data) -> Iterator[tuple]:
-        counts = subword_counts(data)
-        seen = np.flatnonzero(counts)
-        yield mixed, name, seen.astype(np.int32).tobytes(), counts[seen].astype(np.int32).tobytes()
+        yield mixed, name, _packed(subword_counts(data))
 
-    schema = "mix long, label string, bucket binary, n binary"
+    schema = "mix long, label string, features binary"
     source = chosen.select(mix.alias("mix"), label.alias("label"), F.col(text_col).cast("binary").alias("data"))
     sample = map_rows(source, schema, features).limit(2 * max_per_label * len(labels)).toArrow()
-    # Bounded: max_per_label times labels rows of at most two numbers per bucket.
-    order = sorted(range(sample.num_rows), key=lambda i: (sample["mix"][i].as_py(), sample["label"][i].as_py()))
+    # Bounded: max_per_label times labels rows of at most two numbers per bucket, packed on the way and kept once.
+    order = sorted(zip(sample["mix"].to_pylist(), sample["label"].to_pylist(), range(sample.num_rows)))
     if not order:
         return _nothing_learned()
-    rows = [tuple(np.frombuffer(sample[c][i].as_py(), np.int32) for c in ("bucket", "n")) for i in order]
-    return train(rows, np.array([labels.index(sample["label"][i].as_py()) for i in order]), labels)
+    rows = [_unpacked(sample["features"][i].as_py()) for _, _, i in order]
+    del sample
+    return train(rows, np.array([labels.index(name) for _, name, _ in order]), labels)
 
 
 def predict(

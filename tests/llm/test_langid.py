@@ -108,3 +108,13 @@ def test_whole_text_counts_in_pieces(monkeypatch):
     whole = langid.subword_counts(data)
     monkeypatch.setattr(langid, "PIECE", 97)
     assert (langid.subword_counts(data) == whole).all()
+
+
+def test_counts_survive_packing_in_little_room():
+    r = random.Random(9)
+    counts = langid.subword_counts(" ".join("".join(r.choices(PARTS["en"], k=3)) for _ in range(3000)).encode())
+    for some in (counts, np.zeros_like(counts), np.full_like(counts, 100_000)):
+        bucket, n = langid._unpacked(langid._packed(some))
+        assert (bucket == np.flatnonzero(some)).all() and (n == some[some > 0]).all()
+    many = langid.subword_counts(bytes(r.choices(range(97, 123), k=20_000)))
+    assert len(langid._packed(many)) < 0.5 * 8 * np.count_nonzero(many)
