@@ -273,3 +273,23 @@ def test_entry_contract(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert {"feature", "month", "psi", "iv"} <= set(e.entry(spark).columns)
+
+
+def test_trials_of_large_tables_judge_one_row_for_all_with_equal_bins(spark, monkeypatch):
+    rows = spark.range(6000).select(
+        "id", (F.col("id") % 5).cast("double").alias("few"), F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 101).cast("double")).alias("many"),
+        (F.pmod(F.xxhash64("id"), F.lit(10)) < F.when(F.col("id") * 37 % 101 > 50, 8).otherwise(2)).cast("double").alias("y"),
+    )
+    train, val = rows.where("id % 3 > 0"), rows.where("id % 3 = 0")
+    judged = []
+
+    def metrics(df, score, label, keys=(), real=models.rank_metrics, **times):
+        judged.append((df.count(), df))
+        return real(df, score, label, keys, **times)
+
+    monkeypatch.setattr(models, "FIT_ROWS", 400, raising=False)
+    monkeypatch.setattr(models, "rank_metrics", metrics)
+    model, _, trials = models.tune_model(train, val, ["few", "many"], "y", [FAST])
+    assert judged[0][0] <= 2 * 5 * 34 < val.count() / 2
+    row = quality.rank_metrics(models.score_rows(val, model), "score", "y").first()
+    assert math.isclose(trials[0][1], row["auc"], rel_tol=1e-9)
