@@ -149,3 +149,41 @@ def test_a_staged_shard_is_a_row_group_of_its_own(spark):
     files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
     assert sum(m.num_rows for m in files) > 3
     assert all(m.num_row_groups == m.num_rows for m in files)
+
+
+def test_hashes_and_counts_outlast_packing():
+    r = np.random.default_rng(4)
+    keys = r.integers(0, 1 << 39, 3000, np.uint64)
+    keys = np.concatenate([keys, keys[:500], np.array([0, (1 << 39) - 1], np.uint64)])
+    counts = r.choice([1, 2, 254, 255, 256, 1 << 40], len(keys))
+    plain = Counter()
+    for k, n in zip(keys.tolist(), counts.tolist()):
+        plain[k] += n
+    got = {}
+    for bucket, *packed in zip(*(c.to_pylist() for c in phrases._pack(keys, counts).columns)):
+        low, n = phrases._unpack(*packed)
+        got |= {(bucket << 32) + k: c for k, c in zip(low.tolist(), n.tolist())}
+    assert got == dict(plain)
+
+
+def test_a_task_sends_a_row_per_bucket_and_kind_however_many_its_shards(spark):
+    docs = corpus(150, 9)
+    df = documents(spark, [(i, t, lang, "a", len(t)) for i, (lang, t) in enumerate(docs)])
+    with phrases._rows_per_batch(spark, 5):
+        index = phrases.shards(df.coalesce(1), phrases.F.coalesce("lang", phrases.F.lit("und")), "text", 50)
+        shards = index.select("kinds", "words", "counts", "codes", "bwt").toArrow()
+    assert len(shards) > 20
+    every = phrases.Filter(1, None, np.full(phrases.FILTER_BITS >> 3, 255, np.uint8))
+    sent = list(phrases._phrases(3, every, every, every)(iter(shards.to_batches(max_chunksize=1))))
+    assert sum(b.num_rows for b in sent) <= 2 * 4
+    got = Counter()
+    for batch in sent:
+        for _, kind, joined, *packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for phrase, n in zip(joined.split("\n"), phrases._unpack_counts(*packed).tolist()):
+                got[kind, phrase] += n
+    plain = Counter()
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(UPPER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            plain.update((lang or "und", " ".join(w[i : i + k])) for k in range(1, 4) for i in range(len(w) - k + 1))
+    assert got == plain
