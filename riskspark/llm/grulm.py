@@ -9,8 +9,8 @@ by their tokens. The average thus depends, a little, on how the input is dealt o
 windows over each whole text, many texts side by side.
 
 Counts cover the whole corpus: one pass ranks all words of all training texts, and the network pass also lists each
-text's words. The most frequent words have numbers and are summed before the shuffle; all others go by a 64-bit hash
-to the task that counts them.
+text's words. The most frequent words have numbers, found by a 64-bit hash, and are summed before the shuffle; all
+others go by that hash to the task that counts them.
 
 Words are runs of non-whitespace after lower-casing A-Z; each text ends with an end token. Null and empty texts
 hold the end token only. Repeated rows count, and are scored, as often as they occur. Without training rows every
@@ -28,9 +28,9 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from riskspark.llm import wordhash
 from riskspark.llm.base import as_batch, id_mix, map_rows
 from riskspark.sources.staging import stage
 
@@ -45,6 +45,7 @@ SLICES = 32
 ALPHA = 0.1
 END = 0
 _SPACE = 1 << 30
+_IS_WORD = wordhash.byte_kinds(wordhash.SPACES)
 
 
 def _ending(word: bytes) -> int:
@@ -86,7 +87,8 @@ def network(words: int, seed: int = 5) -> Network:
 def _exp_sums(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(e, sums, top): exponentials of rows less ``top``, and their sums. One ``top`` serves all rows unless some row is far below it."""
     top = z.max(initial=0)
-    e = np.exp(z - top)
+    e = z - top
+    np.exp(e, out=e)
     sums = e @ np.ones(z.shape[1], z.dtype)
     if len(sums) and not sums.min() > 1e-25:
         top = z.max(axis=1)
@@ -100,42 +102,75 @@ def _lse(z: np.ndarray) -> np.ndarray:
     return np.log(sums) + top
 
 
+def _with_one(h: np.ndarray) -> np.ndarray:
+    """Rows with a 1 behind, so that a product adds the bias, too."""
+    out = np.empty((len(h), HIDDEN + 1), h.dtype)
+    out[:, :HIDDEN], out[:, HIDDEN] = h, 1
+    return out
+
+
+def _weights(net: Network) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes and of the words of each class, the bias as the last row."""
+    return np.concatenate([net.class_w, net.class_b[None]]), np.concatenate([net.word_w, net.word_b[:, None]], axis=1)
+
+
+def _word_rows(weights: np.ndarray, h: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Rows of ``h`` up to the last edge by the words of their class; those of a class lie together."""
+    z = np.empty((edges[-1], CLASS_WORDS), h.dtype)
+    for c in np.flatnonzero(np.diff(edges)):
+        rows = slice(edges[c], edges[c + 1])
+        np.matmul(h[rows], weights[c], out=z[rows])
+    return z
+
+
 def log_probability(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of target tokens (``words`` for the rest) after states h."""
     group = np.minimum(target // CLASS_WORDS, net.classes)
     group[target >= net.words] = net.classes
-    z = h @ net.class_w + net.class_b
-    out = z[np.arange(len(z)), group] - _lse(z)
     order = np.argsort(group.astype(np.uint16), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(net.classes + 1))
-    for c in np.flatnonzero(np.diff(edges)):
-        rows = order[edges[c] : edges[c + 1]]
-        z = h[rows] @ net.word_w[c] + net.word_b[c]
-        out[rows] += z[np.arange(len(rows)), target[rows] - c * CLASS_WORDS] - _lse(z)
+    h, group, goal = _with_one(h[order]), group[order], target[order]
+    edges = np.searchsorted(group, np.arange(net.classes + 1))
+    class_w, word_w = _weights(net)
+    z = h @ class_w
+    found = z[np.arange(len(z)), group] - _lse(z)
+    z, known = _word_rows(word_w, h, edges), edges[-1]
+    found[:known] += z[np.arange(known), goal[:known] % CLASS_WORDS] - _lse(z)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
-def _shares(z: np.ndarray) -> np.ndarray:
+def _shares(z: np.ndarray, scale: float = 1) -> np.ndarray:
     e, sums, _ = _exp_sums(z)
-    e *= (1 / sums)[:, None]
+    e *= (scale / sums)[:, None]
     return e
 
 
-def _step(net: Network, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    u = h @ net.gates
-    zr = x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
+def _descent(z: np.ndarray, goal: np.ndarray, count: int) -> tuple[np.ndarray, float]:
+    """Gradients, by the rows z, of the mean loss over ``count`` tokens, and the sum of these rows' losses."""
+    p, at = _shares(z, 1 / count), (np.arange(len(z)), goal)
+    own = p[at]
+    p[at] = own - 1 / count
+    return p, -np.log(np.maximum(own * count, 1e-30)).sum()
+
+
+def _step(gates: np.ndarray, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The next states. Gates and states come first, lanes last, so that each gate is one stretch; ``x``: what each lane reads."""
+    x, u = np.ascontiguousarray(x.T), gates @ h
+    zr = x[: 2 * HIDDEN]
+    zr += u[: 2 * HIDDEN]
     np.negative(zr, out=zr)
     np.exp(zr, out=zr)
     zr += 1
     np.reciprocal(zr, out=zr)
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = r * u[:, 2 * HIDDEN :]
-    n += x[:, 2 * HIDDEN :]
+    z, r, un = zr[:HIDDEN], zr[HIDDEN:], u[2 * HIDDEN :]
+    n = r * un
+    n += x[2 * HIDDEN :]
     np.tanh(n, out=n)
     after = h - n
     after *= z
     after += n
-    return after, z, r, n, u[:, 2 * HIDDEN :]
+    return after, z, r, n, un
 
 
 @dataclass
@@ -172,15 +207,16 @@ def score_texts(net: Network, reads: list[np.ndarray], targets: list[np.ndarray]
         return total
     laid = lay_out(reads, targets, lanes)
     steps, width = laid.read.shape
-    h = np.zeros((width, HIDDEN), np.float32)
+    h, gates = np.zeros((HIDDEN, width), np.float32), np.ascontiguousarray(net.gates.T)
     for at in range(0, steps, window):
         read, target, first, text = (x[at : at + window] for x in (laid.read, laid.target, laid.first, laid.text))
-        states, opens = np.empty((*read.shape, HIDDEN), np.float32), first.any(axis=1)
+        states, opens = np.empty((len(read), HIDDEN, width), np.float32), first.any(axis=1)
         for t in range(len(read)):
             if opens[t]:
-                h = h * ~first[t][:, None]
-            h = states[t] = _step(net, net.inputs[read[t]], h)[0]
+                h = h * ~first[t]
+            h = states[t] = _step(gates, net.inputs.take(read[t], 0), h)[0]
         live = target >= 0
+        states = states.transpose(0, 2, 1)
         total += np.bincount(text[live], log_probability(net, states[live], target[live]), minlength=len(total))
     return total
 
@@ -195,76 +231,78 @@ class _Adam:
         self.steps += 1
         for name, g in grads.items():
             m, v = self.moments.get(name) or (np.zeros_like(g), np.zeros_like(g))
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            v += 0.01 * (g * g)
             self.moments[name] = m, v
             ahead = self.rate * math.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-            getattr(net, name).__isub__((ahead * m / (np.sqrt(v) + 1e-6)).astype(np.float32))
+            by = np.sqrt(v)
+            by += 1e-6
+            np.divide(m, by, out=by)
+            by *= ahead
+            getattr(net, name).__isub__(by.astype(np.float32, copy=False))
 
 
 def gradients(net: Network, read: np.ndarray, target: np.ndarray, first: np.ndarray, h: np.ndarray) -> tuple[dict, float, np.ndarray]:
     """Gradients of the mean loss over one window, cut off at its start; the loss and the last state."""
-    inputs, kind = net.inputs[read], net.gates.dtype
-    states, before, z, r, n, un = (np.empty((*read.shape, HIDDEN), kind) for _ in range(6))
+    gates, kind, h = np.ascontiguousarray(net.gates.T), net.gates.dtype, np.ascontiguousarray(h.T)
+    steps, lanes = read.shape
+    states, before, z, r, n, un = (np.empty((steps, HIDDEN, lanes), kind) for _ in range(6))
     opens = first.any(axis=1)
-    for t in range(len(read)):
+    for t in range(steps):
         if opens[t]:
-            h = h * ~first[t][:, None]
+            h = h * ~first[t]
         before[t] = h
-        states[t], z[t], r[t], n[t], un[t] = _step(net, inputs[t], h)
-        h = states[t]
+        h, z[t], r[t], n[t], un[t] = _step(gates, net.inputs.take(read[t], 0), h)
+        states[t] = h
     live = np.flatnonzero(target.ravel() >= 0)
     goal = target.ravel()[live]
     count = max(1, len(goal))
     group = np.where(goal >= net.words, net.classes, goal // CLASS_WORDS)
     order = np.argsort(group.astype(np.uint16), kind="stable")
     live, goal, group = live[order], goal[order], group[order]
-    flat = states.reshape(-1, HIDDEN)[live]
+    flat = _with_one(states.transpose(0, 2, 1).reshape(-1, HIDDEN)[live])
     edges = np.searchsorted(group, np.arange(net.classes + 1))
-    p = _shares(flat @ net.class_w + net.class_b)
-    loss = -np.log(np.maximum(p[np.arange(len(p)), group], 1e-30)).sum()
-    p[np.arange(len(p)), group] -= 1
-    p /= count
-    grads = {"class_w": flat.T @ p, "class_b": p.sum(axis=0), "word_w": np.zeros_like(net.word_w), "word_b": np.zeros_like(net.word_b)}
-    dflat = p @ net.class_w.T
+    class_w, word_w = _weights(net)
+    p, loss = _descent(flat @ class_w, group, count)
+    dclass, dword, dflat = flat.T @ p, np.zeros_like(word_w), p @ net.class_w.T
+    q, more = _descent(_word_rows(word_w, flat, edges), goal[: edges[-1]] % CLASS_WORDS, count)
+    loss += more
     for c in np.flatnonzero(np.diff(edges)):
         rows = slice(edges[c], edges[c + 1])
-        q = _shares(flat[rows] @ net.word_w[c] + net.word_b[c])
-        at = np.arange(len(q)), goal[rows] - c * CLASS_WORDS
-        loss -= np.log(np.maximum(q[at], 1e-30)).sum()
-        q[at] -= 1
-        q /= count
-        grads["word_w"][c], grads["word_b"][c] = flat[rows].T @ q, q.sum(axis=0)
-        dflat[rows] += q @ net.word_w[c].T
-    dstates = np.zeros_like(states)
-    dstates.reshape(-1, HIDDEN)[live] = dflat
-    # What a state's gradient is multiplied by, for all steps at once.
-    by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), un * r * (1 - r)
-    dh, dinputs, du = np.zeros_like(h), np.empty_like(inputs), np.empty_like(inputs)
-    back = np.ascontiguousarray(net.gates.T)
-    for t in range(len(read) - 1, -1, -1):
+        np.matmul(flat[rows].T, q[rows], out=dword[c])
+        dflat[rows] += q[rows] @ net.word_w[c].T
+    grads = {"class_w": dclass[:-1], "class_b": dclass[-1], "word_w": dword[:, :-1], "word_b": dword[:, -1]}
+    dstates = np.zeros((steps * lanes, HIDDEN), kind)
+    dstates[live] = dflat
+    dstates = np.ascontiguousarray(dstates.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    dh, du, dns = np.zeros_like(h), np.empty((3 * HIDDEN, steps, lanes), kind), np.empty((HIDDEN, steps, lanes), kind)
+    for t in range(steps - 1, -1, -1):
         dh += dstates[t]
-        dn = dh * by_n[t]
-        now = du[t]
-        np.multiply(dh, by_z[t], out=now[:, :HIDDEN])
-        np.multiply(dn, by_r[t], out=now[:, HIDDEN : 2 * HIDDEN])
-        np.multiply(dn, r[t], out=now[:, 2 * HIDDEN :])
-        dinputs[t, :, 2 * HIDDEN :] = dn
+        dn, now = dns[:, t], du[:, t]
+        part = 1 - z[t]
+        part *= dh
+        np.multiply(part, 1 - n[t] * n[t], out=dn)
+        part *= before[t] - n[t]
+        np.multiply(part, z[t], out=now[:HIDDEN])
+        np.multiply(dn, r[t], out=now[2 * HIDDEN :])
+        part = 1 - r[t]
+        part *= un[t]
+        np.multiply(part, now[2 * HIDDEN :], out=now[HIDDEN : 2 * HIDDEN])
         dh *= z[t]
-        dh += now @ back
+        dh += net.gates @ now
         if opens[t]:
-            dh *= ~first[t][:, None]
-    dinputs[:, :, : 2 * HIDDEN] = du[:, :, : 2 * HIDDEN]
-    grads["gates"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-    grads["inputs"] = np.zeros_like(net.inputs)
-    order = np.argsort(read.ravel().astype(np.uint16), kind="stable")
-    token = read.ravel()[order]
-    starts = np.flatnonzero(np.diff(token, prepend=-1))
-    grads["inputs"][token[starts]] = np.add.reduceat(dinputs.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
+            dh *= ~first[t]
+    grads["gates"] = before.transpose(1, 0, 2).reshape(HIDDEN, -1) @ du.reshape(3 * HIDDEN, -1).T
+    token = read.ravel().astype(np.intp)
+    grads["inputs"] = np.empty_like(net.inputs)
+    for k, row in enumerate([*du[: 2 * HIDDEN], *dns]):
+        grads["inputs"][:, k] = np.bincount(token, row.ravel(), len(net.inputs))
     norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
     if norm > 1:
         grads = {k: g / norm for k, g in grads.items()}
-    return grads, loss / count, h
+    return grads, loss / count, h.T
 
 
 def train(net: Network, reads: list[np.ndarray], targets: list[np.ndarray], epochs: int = 3, lanes: int = 64, window: int = 24, rate: float = 0.01) -> list[float]:
@@ -310,6 +348,48 @@ class Vocabulary:
         return number, read, target.astype(np.int32), rare
 
 
+@dataclass
+class Numbering:
+    """A vocabulary by the hashes of its words, to number whole columns of texts at once."""
+
+    hashes: np.ndarray  # in order
+    numbers: np.ndarray
+    words: int
+    endings: np.ndarray
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary) -> Numbering:
+        listed = pa.array(list(vocabulary.numbers), pa.binary())
+        hashes = np.concatenate([np.empty(0, np.uint64), *(w[-1] for w in wordhash.words(listed, _IS_WORD))])
+        order = np.argsort(hashes)
+        numbers = np.fromiter(vocabulary.numbers.values(), np.int32, len(vocabulary.numbers))
+        return cls(hashes[order], numbers[order], vocabulary.words, vocabulary.endings)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``Vocabulary.encode`` of every text of a column, with its end; words without number by their hashes."""
+        for first, stop, data, owner, starts, ends, hashes in wordhash.words(texts, _IS_WORD):
+            number = np.full(len(hashes), -1, np.int32)
+            if len(self.hashes):
+                at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+                number = np.where(self.hashes[at] == hashes, self.numbers[at], number)
+            shown = np.where(number < self.words, number, self.words + self.endings[number])
+            rare = np.flatnonzero(number < 0)
+            last = ends[rare] - 1
+            before = wordhash.LOWER[data[np.maximum(last - 1, starts[rare])]]
+            shown[rare] = self.words + (wordhash.LOWER[data[last]] + 31 * before.astype(np.int32)) % ENDINGS
+            target = np.where((number < 0) | (number >= self.words), self.words, number)
+            # Each text's end token, number ``END``, follows its words.
+            edges = np.searchsorted(owner, np.arange(first, stop + 1)) + np.arange(stop - first + 1)
+            place = np.arange(len(number)) + owner - first
+            flat = np.full((3, edges[-1]), END, np.int32)
+            flat[:, place] = number, shown, target
+            read = np.concatenate([[END], flat[1, :-1]]).astype(np.int32)
+            rare_edges = np.searchsorted(owner[rare], np.arange(first, stop + 1))
+            for i in range(stop - first):
+                own = slice(edges[i], edges[i + 1])
+                yield flat[0, own], read[own], flat[2, own], hashes[rare[rare_edges[i] : rare_edges[i + 1]]]
+
+
 def _words(data: bytes | None) -> list[bytes]:
     return (data or b"").lower().split()
 
@@ -354,12 +434,12 @@ def learn_all(rows: DataFrame, vocabulary: Vocabulary, start: Network) -> tuple[
 
     Long texts are learned in pieces of ``LEARN_PIECE`` tokens side by side, each of which reads the word before it.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, start))
+    shared = rows.sparkSession.sparkContext.broadcast((Numbering.of(vocabulary), start))
     schema = "slice int, tokens long, loss double, data binary"
     target_schema = pa.schema([("slice", pa.int32()), ("tokens", pa.int64()), ("loss", pa.float64()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start = shared.value
+        numbering, start = shared.value
         net = Network(start.words, *(getattr(start, k).copy() for k in PARAMETERS))
         adam, tokens, loss = _Adam(LEARN_RATE), 0, 0.0
         reads: list[np.ndarray] = []
@@ -379,8 +459,7 @@ def learn_all(rows: DataFrame, vocabulary: Vocabulary, start: Network) -> tuple[
                 tokens, loss = tokens + seen, loss + float(mean) * seen
 
         for batch in batches:
-            for data in batch.column(0):
-                _, read, target, _ = vocabulary.encode(_words(data.as_py()))
+            for _, read, target, _ in numbering.encode(batch.column(0)):
                 for at in range(0, len(target), LEARN_PIECE):
                     reads.append(read[at : at + LEARN_PIECE])
                     targets.append(target[at : at + LEARN_PIECE])
@@ -454,7 +533,7 @@ def _network_rows(shared, id_type: pa.DataType):
     schema = pa.schema([("id", id_type), ("held_out", pa.bool_()), *_LISTED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, net = shared.value
+        numbering, net = shared.value
         rows: list[list] = []
         reads: list[np.ndarray] = []
         targets: list[np.ndarray] = []
@@ -473,12 +552,10 @@ def _network_rows(shared, id_type: pa.DataType):
                 yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets), pairs)], schema=schema)
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                doc_id, held, data = (batch.column(k)[i].as_py() for k in range(3))
-                number, read, target, rare = vocabulary.encode(_words(data))
+            ids, held_out = (batch.column(k).to_pylist() for k in range(2))
+            for doc_id, held, (number, read, target, rare) in zip(ids, held_out, numbering.encode(batch.column(2))):
                 seen, n = np.unique(number[number >= 0], return_counts=True)
-                hashes = np.fromiter(map(xxhash.xxh64_intdigest, rare), np.uint64, len(rare)).view(np.int64)
-                word, times = np.unique(hashes, return_counts=True)
+                word, times = np.unique(rare.view(np.int64), return_counts=True)
                 rows.append([
                     doc_id, held, len(number), int((target == net.words).sum()), 0.0, seen.astype(np.int32).tobytes(), n.astype(np.int32).tobytes(),
                     word, times,
@@ -518,7 +595,7 @@ def score(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, net: Networ
     from pyspark.sql.pandas.types import to_arrow_type
 
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((vocabulary, net))
+    shared = context.broadcast((Numbering.of(vocabulary), net))
     id_type = docs.schema[id_col].dataType
     source = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("binary").alias("data"))
     schema = (

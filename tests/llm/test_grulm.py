@@ -124,3 +124,21 @@ def test_rows_far_below_others_keep_their_own_scale():
     assert np.allclose(grulm._lse(z), top + np.log(shares.sum(axis=1)), rtol=1e-6)
     assert np.allclose(grulm._shares(z), shares / shares.sum(axis=1)[:, None], rtol=1e-6)
     assert len(grulm._lse(z[:0])) == 0 and grulm._shares(z[:0]).shape == (0, 3)
+
+
+def test_whole_columns_are_numbered_as_single_texts():
+    import pyarrow as pa
+
+    listed = [b"a", b"the", b"\xc3\xa9t\xc3\xa9", b"x" * 40]
+    known = grulm.Vocabulary({w: i + 1 for i, w in enumerate(listed)}, 3, np.array([0, *(grulm._ending(w) for w in listed)], np.int32))
+    texts = [b"The a\x0bb", None, b"", b" \t\r\n", b"Q", "Été ÉTÉ été zz".encode(), b"\x00\xff \x85a a" + b" X" * 3, b"x" * 40, b"rare RARE a " * 250_000]
+    numbering, got = grulm.Numbering.of(known), []
+    for size in (len(texts), 2):
+        got = [r for at in range(0, len(texts), size) for r in numbering.encode(pa.array(texts[at : at + size], pa.binary()))]
+        assert len(got) == len(texts)
+        for text, (number, read, target, rare) in zip(texts, got):
+            plain = known.encode(grulm._words(text))
+            assert all(np.array_equal(a, b) for a, b in zip((number, read, target), plain))
+            assert sorted(Counter(rare.tolist()).values()) == sorted(Counter(plain[3]).values())
+    none = grulm.Numbering.of(grulm.Vocabulary({}, 1, np.array([0], np.int32)))
+    assert [r[0].tolist() for r in none.encode(pa.array([b"a b", b""], pa.binary()))] == [[-1, -1, 0], [0]]
